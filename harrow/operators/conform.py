@@ -14,11 +14,14 @@ _ALIASES = (
 )
 
 
-def map_null_tokens(df):
+def map_null_tokens(df, keep=()):
     """Every string cell that spells "no value" becomes NULL."""
-    return df.select(
-        *[null_tokens(F.col(c)).alias(c) if t == "string" else F.col(c) for c, t in df.dtypes]
-    )
+
+    def cell(name, kind):
+        c = F.col(f"`{name}`")
+        return null_tokens(c).alias(name) if kind == "string" and name not in keep else c
+
+    return df.select(*[cell(c, t) for c, t in df.dtypes])
 
 
 def add_missing(df, columns):
