@@ -4,6 +4,8 @@ The tables hold no amounts, dates or award texts, so each rule gets its inputs
 from a SELECT over whole tables. The same text runs on Spark and on DuckDB.
 """
 
+from harrow.session import spread
+
 RAW_LISTINGS = """
 SELECT o.o_orderkey AS row_id,
   'feed' || cast(o.o_custkey % 7 AS string) AS source,
@@ -46,32 +48,56 @@ SELECT o_orderkey AS block_id,
 FROM orders
 """
 
-# four page shapes by page_id % 4, one page per order
-RAW_PAGES = """
-SELECT o_orderkey AS page_id,
-  'https://feed' || cast(o_orderkey % 4 AS string) || '.example.org/p/' || cast(o_orderkey AS string) AS url,
-  CASE o_orderkey % 4
-    WHEN 0 THEN '<html><body><div><h3>Scheme ' || cast(o_custkey AS string) || '</h3><p>Helps students &amp; families pay fees.</p><div>Rs. '
-      || cast(o_orderkey % 900 + 100 AS string) || ',000' || chr(10) || 'Deadline: 31/12/2025' || chr(10) || '</div><a href="/apply/' || cast(o_custkey AS string) || '">Apply</a></div></body></html>'
-    WHEN 1 THEN '<html><body><article><h2>Student grant scheme ' || cast(o_custkey AS string) || '</h2><a href="/s/' || cast(o_custkey AS string) || '">more</a>'
-      || CASE o_orderkey % 3 WHEN 0 THEN '<ul><li>short</li><li>Grant no ' || cast(o_custkey AS string) || ' of LKR 5,000</li></ul><p>A scholarship paragraph here.</p>'
+# --- pages: one HTML template per feed shape --------------------------------
+
+_KEY, _CUSTOMER = "cast(o_orderkey AS string)", "cast(o_custkey AS string)"
+
+SHAPES = (
+    # h3 headings, each followed by text, an amount and a link
+    f"""'<html><body><div><h3>Scheme ' || {_CUSTOMER} || '</h3><p>Helps students &amp; families pay fees.</p><div>Rs. '
+      || cast(o_orderkey % 900 + 100 AS string) || ',000' || chr(10) || 'Deadline: 31/12/2025' || chr(10)
+      || '</div><a href="/apply/' || {_CUSTOMER} || '">Apply</a></div></body></html>'""",
+    # an article whose list items, paragraphs or headings are the listings
+    f"""'<html><body><article><h2>Student grant scheme ' || {_CUSTOMER} || '</h2><a href="/s/' || {_CUSTOMER} || '">more</a>'
+      || CASE o_orderkey % 3
+           WHEN 0 THEN '<ul><li>short</li><li>Grant no ' || {_CUSTOMER} || ' of LKR 5,000</li></ul><p>A scholarship paragraph here.</p>'
            WHEN 1 THEN '<ul><li>nothing of note</li></ul><p>A bursary paid by 1/2/2026 for some.</p>'
-           ELSE '<p>Plain text only.</p>' END || '</article></body></html>'
-    WHEN 2 THEN '<html><body><h1 class="entry-title">Award ' || cast(o_custkey AS string) || '</h1><div class="post entry-content"><p>First para.</p><p>Second para.</p><p>Deadline: 15 March 2026'
-      || chr(10) || '</p><h3>Eligibility</h3><p>Eligible countries: Sri Lanka</p><ul><li>GPA above 2.0</li><li>abc</li><li>Full-time degree</li></ul><p>- own laptop</p></div></body></html>'
-    ELSE '<html><body><div><h3><a href="?type=a&amp;id=' || cast(o_orderkey AS string) || '">Research stay ' || cast(o_custkey AS string) || '</a></h3><p>Stay abroad</p><span>Status: PhD students</span><span>Subject area: Physics</span><span>Application deadline: 30 June 2026</span><span>'
-      || '€ 1,200 for 24 months</span></div></body></html>' END AS html
+           ELSE '<p>Plain text only.</p>' END || '</article></body></html>'""",
+    # one article with an eligibility section
+    f"""'<html><body><h1 class="entry-title">Award ' || {_CUSTOMER} || '</h1><div class="post entry-content"><p>First para.</p>'
+      || '<p>Second para.</p><p>Deadline: 15 March 2026' || chr(10) || '</p><h3>Eligibility</h3>'
+      || '<p>Eligible countries: Sri Lanka</p><ul><li>GPA above 2.0</li><li>abc</li><li>Full-time degree</li></ul>'
+      || '<p>- own laptop</p></div></body></html>'""",
+    # a database entry with labelled fields
+    f"""'<html><body><div><h3><a href="?type=a&amp;id=' || {_KEY} || '">Research stay ' || {_CUSTOMER} || '</a></h3>'
+      || '<p>Stay abroad</p><span>Status: PhD students</span><span>Subject area: Physics</span>'
+      || '<span>Application deadline: 30 June 2026</span><span>€ 1,200 for 24 months</span></div></body></html>'""",
+)
+
+
+def shape_pages(shape):
+    """One page of one shape per order."""
+    return f"""
+SELECT o_orderkey AS page_id, 'https://feed{shape}.example.org/p/' || {_KEY} AS url, {SHAPES[shape]} AS html FROM orders
+"""
+
+
+# all four shapes in turn, one page per order
+RAW_PAGES = f"""
+SELECT o_orderkey AS page_id,
+  'https://feed' || cast(o_orderkey % 4 AS string) || '.example.org/p/' || {_KEY} AS url,
+  CASE o_orderkey % 4 WHEN 0 THEN {SHAPES[0]} WHEN 1 THEN {SHAPES[1]} WHEN 2 THEN {SHAPES[2]} ELSE {SHAPES[3]} END AS html
 FROM orders
 """
 
 
 def table(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def derived(spark, sf_dir, select):
     """Run one of the SELECTs above over the tables of a folder."""
-    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    orders, customer = table(spark, sf_dir, "orders"), spark.read.parquet(f"{sf_dir}/customer.parquet")
     text = select.replace("FROM orders", "FROM {orders}").replace("JOIN customer", "JOIN {customer}")
     used = {"orders": orders, "customer": customer}
     return spark.sql(text, **{k: v for k, v in used.items() if "{" + k + "}" in text})

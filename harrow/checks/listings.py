@@ -350,8 +350,8 @@ def _(spark, sf):
 
 @check(
     "filter_named_sourced",
-    f"WITH {_RAW} SELECT row_id, name, CASE WHEN row_id % 3 = 0 THEN 'N/A' ELSE source END AS source FROM raw_listings"
-    " WHERE name IS DISTINCT FROM 'N/A' AND row_id % 3 <> 0",
+    f"WITH {_RAW}, r AS (SELECT row_id, name, CASE WHEN row_id % 3 = 0 THEN 'N/A' ELSE source END AS source"
+    " FROM raw_listings) SELECT * FROM r WHERE name IS DISTINCT FROM 'N/A' AND source IS DISTINCT FROM 'N/A'",
 )
 def _(spark, sf):
     df = derived(spark, sf, RAW_LISTINGS)
@@ -567,7 +567,7 @@ _LOAN_ABSENT = [
 
 @check("clean_loans", f"WITH {LOANS_SCORED} SELECT {_LOAN_KEPT_COLUMNS}, {_na_columns(_LOAN_ABSENT)} FROM final")
 def _(spark, sf):
-    return clean.clean_loans(raw(spark, sf), ORDER, keep_order=True).table
+    return clean.clean_loans(raw(spark, sf), ORDER).table(keep_order=True)
 
 
 @check(
@@ -577,7 +577,7 @@ def _(spark, sf):
     f" {_na_columns(['application_url', 'url', 'scrape_date'])} FROM final",
 )
 def _(spark, sf):
-    return clean.clean_scholarships(raw(spark, sf), ORDER, keep_order=True).table
+    return clean.clean_scholarships(raw(spark, sf), ORDER).table(keep_order=True)
 
 
 def _report_sql(scored, breakdowns, fields):
@@ -607,7 +607,7 @@ def _report_sql(scored, breakdowns, fields):
 
 @check("report_loans", _report_sql(LOANS_SCORED, report.LOAN_BREAKDOWNS, report.LOAN_COMPLETENESS))
 def _(spark, sf):
-    return clean.clean_loans(raw(spark, sf), ORDER).report
+    return clean.clean_loans(raw(spark, sf), ORDER).report()
 
 
 @check(
@@ -615,7 +615,7 @@ def _(spark, sf):
     _report_sql(SCHOLARSHIPS_SCORED, report.SCHOLARSHIP_BREAKDOWNS, report.SCHOLARSHIP_COMPLETENESS),
 )
 def _(spark, sf):
-    return clean.clean_scholarships(raw(spark, sf), ORDER).report
+    return clean.clean_scholarships(raw(spark, sf), ORDER).report()
 
 
 _STAGES = (
@@ -627,18 +627,18 @@ _STAGES = (
 
 @check("stage_counts", f"WITH {LOANS_SCORED} {_STAGES}")
 def _(spark, sf):
-    return clean.clean_loans(raw(spark, sf), ORDER).stages
+    return clean.clean_loans(raw(spark, sf), ORDER).stages()
 
 
 # --- report parts -----------------------------------------------------------
 
 
 def _loans(spark, sf):
-    return clean.clean_loans(raw(spark, sf), ORDER).table
+    return clean.clean_loans(raw(spark, sf), ORDER).table()
 
 
 def _scholarships(spark, sf):
-    return clean.clean_scholarships(raw(spark, sf), ORDER).table
+    return clean.clean_scholarships(raw(spark, sf), ORDER).table()
 
 
 @check(

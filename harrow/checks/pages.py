@@ -6,7 +6,7 @@ from the same columns; the given ``pages`` are checked by counts and by regex.
 
 from pyspark.sql import functions as F
 
-from harrow.checks.fixtures import RAW_PAGES, derived, table
+from harrow.checks.fixtures import RAW_PAGES, derived, shape_pages, table
 from harrow.checks.listings import check
 from harrow.functions.text import resolve_url
 from harrow.operators import filters, harvest, pages
@@ -18,17 +18,23 @@ _TAGS = ("p", "a", "li", "b", "h1", "div", "article")
 
 
 def _shape(spark, sf, shape):
-    """Pages of one feed, picked by address before any page is parsed."""
-    raw = derived(spark, sf, RAW_PAGES)
-    return pages.parse_pages(raw.where(F.col("url").startswith(f"https://feed{shape}.")))
+    return pages.parse_pages(derived(spark, sf, shape_pages(shape)))
+
+
+def _mixed(spark, sf):
+    return pages.parse_pages(derived(spark, sf, RAW_PAGES))
 
 
 def _parsed(spark, sf):
     return pages.parse_pages(table(spark, sf, "pages"))
 
 
-def _shape_pages(sql, shape):
-    return f"WITH p AS (SELECT o_orderkey AS k, o_custkey AS n FROM orders WHERE o_orderkey % 4 = {shape}) {sql}"
+# k, n: the order and customer key behind each page; r: its shape among mixed pages
+_P = "WITH p AS (SELECT o_orderkey AS k, o_custkey AS n, o_orderkey % 4 AS r FROM orders)"
+
+
+def _expected(select):
+    return f"{_P} {select}"
 
 
 # --- given pages ------------------------------------------------------------
@@ -80,14 +86,17 @@ def _(spark, sf):
     " FROM orders",
 )
 def _(spark, sf):
-    parsed = pages.parse_pages(derived(spark, sf, RAW_PAGES))
+    parsed = _mixed(spark, sf)
     node = pages.main_content(F.col("nodes"), harvest.SCHEME_CONTENT)
     return parsed.select("page_id", node["tag"].alias("tag"))
 
 
-@check("page_title", _shape_pages("SELECT k AS page_id, 'Award ' || n AS title FROM p", 2))
+@check("page_title", _expected(
+        "SELECT * FROM (SELECT k AS page_id, CASE r WHEN 2 THEN 'Award ' || n END AS title FROM p) WHERE title IS NOT NULL"
+    ),
+)
 def _(spark, sf):
-    return harvest.page_title(pages.parse_pages(derived(spark, sf, RAW_PAGES)))
+    return harvest.page_title(_mixed(spark, sf))
 
 
 @check(
@@ -100,18 +109,17 @@ def _(spark, sf):
     " FROM orders",
 )
 def _(spark, sf):
-    parsed = pages.parse_pages(derived(spark, sf, RAW_PAGES))
+    parsed = _mixed(spark, sf)
     return harvest.heading_next(parsed, ("h2", "h3"), ("p",)).drop("node_id")
 
 
 @check(
     "node_text",
-    _shape_pages(
+    _expected(
         "SELECT k AS page_id, 'Research stay ' || n || 'Stay abroadStatus: PhD studentsSubject area: Physics'"
         " || 'Application deadline: 30 June 2026€ 1,200 for 24 months' AS joined,"
         " 'Research stay ' || n || ' | Stay abroad | Status: PhD students | Subject area: Physics'"
         " || ' | Application deadline: 30 June 2026 | € 1,200 for 24 months' AS piped FROM p",
-        3,
     ),
 )
 def _(spark, sf):
@@ -124,10 +132,9 @@ def _(spark, sf):
 
 @check(
     "container_text",
-    _shape_pages(
+    _expected(
         "SELECT k AS page_id, 'Scheme ' || n || 'Helps students & families pay fees.Rs. ' || (k % 900 + 100) || ',000'"
         " || chr(10) || 'Deadline: 31/12/2025' || chr(10) || 'Apply' AS container_text FROM p",
-        0,
     ),
 )
 def _(spark, sf):
@@ -136,24 +143,28 @@ def _(spark, sf):
 
 @check(
     "lead_paragraphs",
-    "SELECT o_orderkey AS page_id, CASE WHEN o_orderkey % 4 = 2 THEN 'First para. Second para.'"
-    " WHEN o_orderkey % 3 = 0 THEN 'A scholarship paragraph here.'"
-    " WHEN o_orderkey % 3 = 1 THEN 'A bursary paid by 1/2/2026 for some.' ELSE 'Plain text only.' END AS lead"
-    " FROM orders WHERE o_orderkey % 4 IN (1, 2)",
+    _expected(
+        "SELECT * FROM (SELECT k AS page_id, CASE WHEN r = 2 THEN 'First para. Second para.' WHEN r = 1 THEN CASE k % 3"
+        " WHEN 0 THEN 'A scholarship paragraph here.' WHEN 1 THEN 'A bursary paid by 1/2/2026 for some.'"
+        " ELSE 'Plain text only.' END END AS lead FROM p) WHERE lead IS NOT NULL",
+    ),
 )
 def _(spark, sf):
-    return harvest.lead_paragraphs(pages.parse_pages(derived(spark, sf, RAW_PAGES)))
+    return harvest.lead_paragraphs(_mixed(spark, sf))
 
 
 @check(
     "article_links",
-    _shape_pages("SELECT min(k) AS page_id, '/s/' || n AS link FROM p GROUP BY n", 1),
+    _expected(
+        "SELECT min(k) AS page_id, link FROM (SELECT k, CASE r WHEN 1 THEN '/s/' || n END AS link FROM p)"
+        " WHERE link IS NOT NULL GROUP BY link"
+    ),
 )
 def _(spark, sf):
-    return harvest.article_links(pages.parse_pages(derived(spark, sf, RAW_PAGES))).drop("node_id")
+    return harvest.article_links(_mixed(spark, sf)).drop("node_id")
 
 
-@check("dedup_links", _shape_pages("SELECT min(k) AS page_id, '/apply/' || n AS link FROM p GROUP BY n", 0))
+@check("dedup_links", _expected("SELECT min(k) AS page_id, '/apply/' || n AS link FROM p GROUP BY n"))
 def _(spark, sf):
     rows = F.transform(
         pages.links(F.col("nodes")),
@@ -170,10 +181,13 @@ def _hrefs(parsed):
 
 @check(
     "link_prefix",
-    _shape_pages("SELECT k AS page_id, '?type=a&id=' || k AS href FROM p", 3),
+    _expected(
+        "SELECT * FROM (SELECT k AS page_id, CASE r WHEN 3 THEN '?type=a&id=' || k END AS href FROM p)"
+        " WHERE href IS NOT NULL"
+    ),
 )
 def _(spark, sf):
-    found = _hrefs(pages.parse_pages(derived(spark, sf, RAW_PAGES)))
+    found = _hrefs(_mixed(spark, sf))
     return found.where(filters.has_link_prefix(F.col("href")))
 
 
@@ -191,12 +205,12 @@ def _(spark, sf):
 
 @check(
     "requirement_items",
-    _shape_pages(
-        "SELECT k AS page_id, unnest(['GPA above 2.0', 'Full-time degree']) AS text FROM p", 2
+    _expected(
+        "SELECT k AS page_id, unnest(CASE r WHEN 2 THEN ['GPA above 2.0', 'Full-time degree'] END) AS text FROM p"
     ),
 )
 def _(spark, sf):
-    items = pages.find_all(pages.parse_pages(derived(spark, sf, RAW_PAGES)), "li")
+    items = pages.find_all(_mixed(spark, sf), "li")
     return items.where(filters.is_requirement_item(F.col("text"))).select("page_id", "text")
 
 
@@ -206,7 +220,7 @@ _ELIGIBILITY = (
 )
 
 
-@check("eligibility_section", _shape_pages(f"SELECT k AS page_id, {_ELIGIBILITY} AS eligibility FROM p", 2))
+@check("eligibility_section", _expected(f"SELECT k AS page_id, {_ELIGIBILITY} AS eligibility FROM p"))
 def _(spark, sf):
     return harvest.eligibility_section(_shape(spark, sf, 2))
 
@@ -225,12 +239,11 @@ _FIRST = "JOIN (SELECT {key} AS n0, min(k) AS k FROM p GROUP BY 1) f USING (k)"
 
 @check(
     "harvest_headings",
-    _shape_pages(
+    _expected(
         f"SELECT k AS page_id, 'Scheme ' || n AS name, 'Helps students & families pay fees.' AS description, {_NA},"
         " 'Rs. ' || (k % 900 + 100) || ',000' AS funding_amount, 'Deadline: 31/12/2025' AS deadline,"
         f" '{_SITE}/apply/' || n AS application_url, 'feed 0' AS source,"
         " 'https://feed0.example.org/p/' || k AS url FROM p " + _FIRST.format(key="n"),
-        0,
     ),
 )
 def _(spark, sf):
@@ -245,13 +258,12 @@ _CASCADE_NAME = (
 
 @check(
     "harvest_cascade",
-    _shape_pages(
+    _expected(
         f"SELECT k AS page_id, {_CASCADE_NAME} AS name,"
         f" CASE k % 3 WHEN 2 THEN 'Plain text only.' ELSE '' END AS description, {_NA},"
         " CASE k % 3 WHEN 0 THEN 'LKR 5,000' ELSE 'N/A' END AS funding_amount,"
         " CASE k % 3 WHEN 1 THEN '1/2/2026' ELSE 'N/A' END AS deadline, 'N/A' AS application_url, 'feed 1' AS source,"
         " 'https://feed1.example.org/p/' || k AS url FROM p " + _FIRST.format(key=_CASCADE_NAME),
-        1,
     ),
 )
 def _(spark, sf):
@@ -260,12 +272,11 @@ def _(spark, sf):
 
 @check(
     "harvest_articles",
-    _shape_pages(
+    _expected(
         "SELECT k AS page_id, 'Award ' || n AS name, 'First para. Second para.' AS description,"
         f" {_ELIGIBILITY} AS eligibility, 'N/A' AS contact, 'N/A' AS funding_amount, '15 March 2026' AS deadline,"
         " 'https://feed2.example.org/p/' || k AS application_url, 'feed 2' AS source,"
         " 'https://feed2.example.org/p/' || k AS url FROM p",
-        2,
     ),
 )
 def _(spark, sf):
@@ -280,7 +291,7 @@ def _entries(spark, sf):
 
 @check(
     "harvest_entries",
-    _shape_pages(
+    _expected(
         "SELECT k AS page_id, 'Research stay ' || n AS name, 'Stay abroad' AS description,"
         " '• Status: PhD students' || chr(10) || '• Subject: Physics' AS eligibility, 'desk' AS contact,"
         " '€1,200 per month' AS funding_amount, '30 June 2026' AS deadline,"
@@ -288,7 +299,6 @@ def _entries(spark, sf):
         " 'https://feed3.example.org/p/' || k AS url, 'PhD students' AS status, 'Physics' AS subject_area,"
         " 'Doctoral/PhD' AS study_level, 'Research Grant' AS program_type, '24 month' AS duration,"
         " 'PhD students' AS target_group, 'there' AS country, 'any' AS language_requirements FROM p",
-        3,
     ),
 )
 def _(spark, sf):
@@ -297,13 +307,12 @@ def _(spark, sf):
 
 @check(
     "merge_feeds",
-    f"""WITH a AS (SELECT 'feed 0' AS source, 'Scheme ' || o_custkey AS name FROM orders WHERE o_orderkey % 4 = 0),
-b AS (SELECT 'feed 1' AS source, {_CASCADE_NAME.replace("k % 3", "o_orderkey % 3").replace("|| n", "|| o_custkey")} AS name
-  FROM orders WHERE o_orderkey % 4 = 1),
-c AS (SELECT 'feed 2' AS source, 'Award ' || o_custkey AS name FROM orders WHERE o_orderkey % 4 = 2),
-d AS (SELECT 'feed 3' AS source, 'Research stay ' || o_custkey AS name FROM orders WHERE o_orderkey % 4 = 3),
-u AS (SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c UNION ALL SELECT * FROM d)
-SELECT source, count(DISTINCT name) AS n FROM u GROUP BY source""",
+    _expected(
+        f"""SELECT source, count(DISTINCT name) AS n FROM (
+SELECT 'feed 0' AS source, 'Scheme ' || n AS name FROM p UNION ALL SELECT 'feed 1', {_CASCADE_NAME} FROM p
+UNION ALL SELECT 'feed 2', 'Award ' || n FROM p UNION ALL SELECT 'feed 3', 'Research stay ' || n FROM p)
+GROUP BY source"""
+    ),
 )
 def _(spark, sf):
     registry = [

@@ -103,7 +103,18 @@ SPACE_RANGES = (
 # ----------------------------------------------------------------------------
 
 WHITESPACE = "".join(chr(c) for low, high in SPACE_RANGES for c in range(low, high + 1))
-SPACE_CLASS = "[" + "".join(rf"\x{{{low:x}}}-\x{{{high:x}}}" for low, high in SPACE_RANGES) + "]"
+
+
+def _space_class():
+    """The white space set as a Java class. Latin ones are listed one by one
+    (a bit lookup), the others sit behind a single range test."""
+    latin = "".join(rf"\x{{{ord(c):x}}}" for c in WHITESPACE if ord(c) < 256)
+    far = [(low, high) for low, high in SPACE_RANGES if low > 255]
+    exact = "".join(rf"\x{{{low:x}}}-\x{{{high:x}}}" for low, high in far)
+    return rf"[{latin}[\x{{{far[0][0]:x}}}-\x{{{far[-1][1]:x}}}&&[{exact}]]]"
+
+
+SPACE_CLASS = _space_class()
 
 
 def java(pattern, ignore_case=False):

@@ -1,8 +1,5 @@
 """Null tests and text cleaning, as column expressions."""
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import functions as F
 
 from harrow.functions.patterns import DEADLINE_WORDS, HTML_TAG, SPACE_CLASS, WHITESPACE, java
@@ -19,9 +16,10 @@ def not_na_literal(c):
     return ~c.eqNullSafe(F.lit(NA))
 
 
-def null_tokens(c):
-    """Cell text of a feed file, with its "no value" spellings as NULL."""
-    return F.when(~c.isin(*NULL_TOKENS), c)
+def null_tokens(name):
+    """A feed file's cell with its "no value" spellings as NULL."""
+    tokens = ", ".join(f"'{t}'" for t in NULL_TOKENS)
+    return F.expr(f"CASE WHEN `{name}` NOT IN ({tokens}) THEN `{name}` END")
 
 
 def strip(c):
@@ -62,7 +60,7 @@ def truncate(c, size):
 def has_any(lower_text, words):
     """True where the (already lower-cased) text holds any of the words, as
     plain substrings without word boundaries."""
-    return reduce(or_, [lower_text.contains(w) for w in words])
+    return F.exists(F.split(F.lit("|".join(words)), r"\|"), lambda word: F.contains(lower_text, word))
 
 
 def rule_text(*columns):

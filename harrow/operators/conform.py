@@ -18,8 +18,7 @@ def map_null_tokens(df, keep=()):
     """Every string cell that spells "no value" becomes NULL."""
 
     def cell(name, kind):
-        c = F.col(f"`{name}`")
-        return null_tokens(c).alias(name) if kind == "string" and name not in keep else c
+        return null_tokens(name).alias(name) if kind == "string" and name not in keep else f"`{name}`"
 
     return df.select(*[cell(c, t) for c, t in df.dtypes])
 

@@ -1,7 +1,5 @@
 """Data quality figures of cleaned and merged tables."""
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from harrow.functions.classify import quality_band
@@ -123,46 +121,53 @@ def quality_report(scored, keep, breakdowns, fields, copies="_copies", score="da
     """The whole report as one long table ``(section, metric, value)``.
 
     ``scored`` is the chain up to its scores and classes, before the row filter
-    ``keep`` and with copy counts. It is boiled down once to counts per
-    combination of the reported values; every section then reads those counts,
-    and as all sections share one subplan Spark runs its exchange once.
+    ``keep`` and with copy counts. One pass boils it down to counts per
+    combination of the reported values; grouping sets over these few rows then
+    give the overall figures and the counts per breakdown together.
     """
-    flags = [not_na_literal(F.col(f)).alias(f"has_{f}") for f in fields]
+    flags = {f"has_{f}": not_na_literal(F.col(f)) for f in fields}
     cube = (
-        scored.select(*breakdowns, F.col(score).alias("score"), *flags, keep.alias("kept"), F.col(copies).alias("c"))
-        .groupBy("kept", *breakdowns, "score", *[f"has_{f}" for f in fields])
+        scored.select(
+            *breakdowns, F.col(score).alias("score"), keep.alias("kept"), F.col(copies).alias("c"),
+            *[v.alias(k) for k, v in flags.items()],
+        )
+        .groupBy("kept", *breakdowns, "score", *flags)
         .agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("loaded"))
+        .withColumns({"n": F.expr("if(kept, n, 0L)"), "s": F.expr("if(kept, score, NULL)")})
+        .withColumn("band", quality_band(F.col("s")))
     )
-    n = F.when(F.col("kept"), F.col("n")).otherwise(0)
-    s = F.when(F.col("kept"), F.col("score"))
-    total, loaded = F.sum(n), F.sum("loaded")
-
-    def cell(section, metric, value):
-        return F.struct(
-            F.lit(section).alias("section"), F.lit(metric).alias("metric"), value.cast("double").alias("value")
-        )
-
-    cells = [
-        cell("rows", "original", loaded),
-        cell("rows", "cleaned", total),
-        cell("rows", "removed", loaded - total),
-        cell("rows", "removal_rate", percent(loaded - total, loaded)),
-        cell("score", "mean", F.round(F.try_divide(F.sum(s * n), total), 2)),
-        cell("score", "median", F.round(F.percentile(s, F.lit(0.5), n), 2)),
-        cell("score", "min", F.min(s)),
-        cell("score", "max", F.max(s)),
-    ]
+    total, loaded = F.sum("n"), F.sum("loaded")
+    figures = {
+        ("rows", "original"): loaded,
+        ("rows", "cleaned"): total,
+        ("rows", "removed"): loaded - total,
+        ("rows", "removal_rate"): percent(loaded - total, loaded),
+        ("score", "mean"): F.round(F.try_divide(F.sum(F.col("s") * F.col("n")), total), 2),
+        ("score", "median"): F.round(F.percentile("s", F.lit(0.5), F.col("n")), 2),
+        ("score", "min"): F.min("s"),
+        ("score", "max"): F.max("s"),
+    }
     for band in BANDS:
-        cells.append(cell("band", band, F.sum(F.when(quality_band(s) == band, n).otherwise(0))))
+        figures["band", band] = F.expr(f"sum(if(band = '{band}', n, 0L))")
     for f in fields:
-        filled = F.sum(F.when(F.col(f"has_{f}"), n).otherwise(0))
-        cells.append(cell("filled", f, filled))
-        cells.append(cell("filled_percent", f, percent(filled, total)))
-    figures = cube.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
-    counts = [
-        cube.where(F.col("kept") & F.col(b).isNotNull())
-        .groupBy(F.lit(b).alias("section"), F.col(b).alias("metric"))
-        .agg(F.sum("n").cast("double").alias("value"))
-        for b in breakdowns
-    ]
-    return reduce(lambda a, b: a.unionByName(b), [figures, *counts])
+        filled = F.expr(f"sum(if(has_{f}, n, 0L))")
+        figures["filled", f] = filled
+        figures["filled_percent", f] = percent(filled, total)
+    sets = [[], *[[b] for b in breakdowns]]
+    rolled = cube.groupingSets(sets, *breakdowns).agg(
+        F.grouping_id().alias("grouping"),
+        total.alias("n"),
+        *[v.cast("double").alias(f"f{i}") for i, v in enumerate(figures.values())],
+    )
+    overall = F.expr("array(" + ", ".join(
+        f"named_struct('section', '{section}', 'metric', '{metric}', 'value', f{i})"
+        for i, (section, metric) in enumerate(figures)
+    ) + ")")
+    everything = 2 ** len(breakdowns) - 1
+    # a set of one breakdown leaves that column's bit unset in the grouping id
+    cells = F.when(F.col("grouping") == everything, overall)
+    for i, b in enumerate(breakdowns):
+        mine = everything - 2 ** (len(breakdowns) - 1 - i)
+        cell = F.expr(f"array(named_struct('section', '{b}', 'metric', `{b}`, 'value', double(n)))")
+        cells = cells.when((F.col("grouping") == mine) & F.col(b).isNotNull() & (F.col("n") > 0), cell)
+    return rolled.select(F.inline(cells))

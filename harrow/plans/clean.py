@@ -5,14 +5,16 @@ deduplicated before their text is cleaned, so names that differ in white space
 only both stay, and the extractors run on kept rows alone.
 """
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harrow.functions import classify, extract, score, text
-from harrow.operators import conform, dedup, report
 from harrow.functions.text import not_na_literal
+from harrow.operators import conform, dedup, report
+from harrow.session import stage_table
 
 COPIES = "_copies"
 _LOAN_TEXT = ("name", "description", "eligibility", "contact", "loan_product_name")
@@ -21,12 +23,31 @@ _SCHOLARSHIP_TEXT = ("name", "description", "eligibility", "contact")
 
 @dataclass(frozen=True)
 class Clean:
-    """A clean chain: ``table`` is its result, ``report`` its quality figures,
-    ``stages`` its row counts. All three are lazy."""
+    """A clean chain. Each part is planned when it is asked for."""
+
+    scored: DataFrame
+    keep: Callable
+    reorder: Callable
+    breakdowns: tuple
+    fields: tuple
+    order: tuple
+
+    def table(self, keep_order=False):
+        """The cleaned rows in canonical column order."""
+        dropped = (COPIES,) if keep_order else (COPIES, *self.order)
+        return self.reorder(self.scored.where(self.keep()).drop(*dropped))
+
+    def report(self):
+        """Quality figures as ``(section, metric, value)``."""
+        return report.quality_report(self.scored, self.keep(), self.breakdowns, self.fields, COPIES)
+
+    def stages(self):
+        """Rows loaded, dropped and kept."""
+        return report.stage_counts(self.scored, self.keep(), COPIES)
 
-    table: DataFrame
-    report: DataFrame
-    stages: DataFrame
+    def staged(self, name):
+        """The same chain over its scored rows written to a staged table."""
+        return replace(self, scored=stage_table(self.scored, name))
 
 
 def clean_loan_cells(df):
@@ -77,46 +98,26 @@ def clean_scholarship_cells(df):
     ).drop("_rules", "_region")
 
 
-def loans_scored(raw, order, alias_fallback=False):
-    """Loan chain up to its scores, before the row filter, with copy counts."""
-    conformed = conform.conform_loans(raw, alias_fallback)
-    return clean_loan_cells(dedup.keep_first_by_name(conformed, order, copies=COPIES))
-
-
 def loans_kept():
     return not_na_literal(F.col("name"))
 
 
-def scholarships_scored(raw, order):
-    conformed = conform.conform_scholarships(raw, keep=order)
-    return clean_scholarship_cells(dedup.keep_first_by_name(conformed, order, copies=COPIES))
-
-
 def scholarships_kept():
     return not_na_literal(F.col("name")) & not_na_literal(F.col("source"))
 
 
-def clean_loans(raw, order, alias_fallback=False, keep_order=False):
-    """Cleaned loans of loaded feeds (null tokens already NULL).
+def clean_loans(raw, order, alias_fallback=False):
+    """Clean loaded loan feeds (null tokens already NULL).
 
     ``order`` names the columns that give the load order.
     """
-    scored = loans_scored(raw, order, alias_fallback)
-    drop = (COPIES,) if keep_order else (COPIES, *order)
-    return Clean(
-        table=conform.reorder_loans(scored.where(loans_kept()).drop(*drop)),
-        report=report.quality_report(scored, loans_kept(), report.LOAN_BREAKDOWNS, report.LOAN_COMPLETENESS, COPIES),
-        stages=report.stage_counts(scored, loans_kept(), COPIES),
-    )
+    kept = dedup.keep_first_by_name(conform.conform_loans(raw, alias_fallback), order, copies=COPIES)
+    return Clean(clean_loan_cells(kept), loans_kept, conform.reorder_loans,
+                 report.LOAN_BREAKDOWNS, report.LOAN_COMPLETENESS, tuple(order))
 
 
-def clean_scholarships(raw, order, keep_order=False):
-    scored = scholarships_scored(raw, order)
-    drop = (COPIES,) if keep_order else (COPIES, *order)
-    return Clean(
-        table=conform.reorder_scholarships(scored.where(scholarships_kept()).drop(*drop)),
-        report=report.quality_report(
-            scored, scholarships_kept(), report.SCHOLARSHIP_BREAKDOWNS, report.SCHOLARSHIP_COMPLETENESS, COPIES
-        ),
-        stages=report.stage_counts(scored, scholarships_kept(), COPIES),
-    )
+def clean_scholarships(raw, order):
+    """Clean loaded scholarship feeds (null tokens already NULL)."""
+    kept = dedup.keep_first_by_name(conform.conform_scholarships(raw, keep=order), order, copies=COPIES)
+    return Clean(clean_scholarship_cells(kept), scholarships_kept, conform.reorder_scholarships,
+                 report.SCHOLARSHIP_BREAKDOWNS, report.SCHOLARSHIP_COMPLETENESS, tuple(order))

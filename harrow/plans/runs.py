@@ -2,16 +2,11 @@
 
 from datetime import datetime, timezone
 
-from harrow.operators import conform, report
+from harrow.operators import conform
 from harrow.plans import clean
-from harrow.session import stage_table
 from harrow.sources import feeds, sinks
 
 
-def _stamp():
-    return datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
-
-
 def clean_loan_folder(spark, folder, out, stamp=None, exclude_outputs=False, alias_fallback=False):
     """Load the loan feeds of a folder, clean them, write table and report.
 
@@ -20,10 +15,8 @@ def clean_loan_folder(spark, folder, out, stamp=None, exclude_outputs=False, ali
     raw = feeds.load_loan_feeds(spark, folder, exclude_outputs)
     if raw is None:
         return None
-    raw = conform.name_from_product(raw)
-    scored = clean.loans_scored(raw, feeds.LOAD_ORDER, alias_fallback)
-    return _write(spark, scored, clean.loans_kept(), conform.reorder_loans, out, "loans", stamp or _stamp(),
-                  report.LOAN_BREAKDOWNS, report.LOAN_COMPLETENESS)
+    chain = clean.clean_loans(conform.name_from_product(raw), feeds.LOAD_ORDER, alias_fallback)
+    return _write(chain, out, "loans", stamp)
 
 
 def clean_scholarship_folder(spark, folder, out, stamp=None, exclude_outputs=False):
@@ -31,15 +24,12 @@ def clean_scholarship_folder(spark, folder, out, stamp=None, exclude_outputs=Fal
     raw = feeds.load_scholarship_feeds(spark, folder, exclude_outputs)
     if raw is None:
         return None
-    scored = clean.scholarships_scored(raw, feeds.LOAD_ORDER)
-    return _write(spark, scored, clean.scholarships_kept(), conform.reorder_scholarships, out, "scholarships",
-                  stamp or _stamp(), report.SCHOLARSHIP_BREAKDOWNS, report.SCHOLARSHIP_COMPLETENESS)
-
-
-def _write(spark, scored, keep, reorder, out, name, stamp, breakdowns, fields):
-    """Stage the scored rows once; report and both copies read the stage."""
-    staged = stage_table(scored, name)
-    figures = report.quality_report(staged, keep, breakdowns, fields, clean.COPIES)
-    sinks.write_report(figures, out, name, stamp)
-    table = reorder(staged.where(keep).drop(clean.COPIES, *feeds.LOAD_ORDER))
-    return sinks.write_cleaned(table, out, f"{name}_cleaned", stamp)
+    return _write(clean.clean_scholarships(raw, feeds.LOAD_ORDER), out, "scholarships", stamp)
+
+
+def _write(chain, out, name, stamp):
+    """The scored rows are staged once; report and both copies read the stage."""
+    stamp = stamp or datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S")
+    chain = chain.staged(name)
+    sinks.write_report(chain.report(), out, name, stamp)
+    return sinks.write_cleaned(chain.table(), out, f"{name}_cleaned", stamp)
