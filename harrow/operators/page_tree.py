@@ -4,7 +4,9 @@ Needs the standard library and pyarrow only, and is shipped by value with the
 job, so executors need no copy of this package.
 """
 
+import re
 import sys
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -20,14 +22,6 @@ VERBATIM_TAGS = frozenset(("pre", "textarea"))
 ASCII_SPACE = "\n\t\x0c\r "
 # ----------------------------------------------------------------------------
 
-NODE = pa.struct(
-    [
-        ("id", pa.int32()), ("parent", pa.int32()), ("last", pa.int32()), ("depth", pa.int32()),
-        ("tag", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())),
-        ("p0", pa.int32()), ("p1", pa.int32()),
-    ]
-)
-
 NODES_TYPE = (
     "array<struct<id:int,parent:int,last:int,depth:int,tag:string,attrs:map<string,string>,p0:int,p1:int>>"
 )
@@ -40,29 +34,58 @@ PARSED_SCHEMA = (
 _SLICE = 64
 
 
-class _Tree(HTMLParser):
-    """Node and piece lists of one page.
+# a tag in its plain form: closing, or opening with double-quoted attributes only
+_PLAIN_TAG = re.compile(
+    r'<(?:/([a-zA-Z][a-zA-Z0-9]*)|([a-zA-Z][a-zA-Z0-9]*)((?:\s+[a-zA-Z][-a-zA-Z0-9_:]*="[^"]*")*))>'
+)
+_PLAIN_ATTR = re.compile(r'([a-zA-Z][-a-zA-Z0-9_:]*)="([^"]*)"')
+
+
+class _Trees(HTMLParser):
+    """Node and string columns of a run of pages.
 
     Forgiving rules: void tags close at once, an end tag closes the nearest open
     tag of its name or is ignored, and no start tag closes another.
+
+    Tags in plain form take a short path; all other markup goes through the
+    standard tokenizer at its place.
     """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.nodes = [[0, None, 0, 0, "[document]", [], 0, 0]]
-        self.strings = []
-        self.owners = []
-        self._stack = [self.nodes[0]]
-        self._open = {}
-        self._text = []
-        self._hidden = 0
-        self._verbatim = 0
+        self.page_ends, self.string_ends = [0], [0]
+        self.ids, self.parents, self.lasts, self.depths, self.tags = [], [], [], [], []
+        self.p0, self.p1 = [], []
+        self.attr_ends, self.attr_names, self.attr_values = [0], [], []
+        self.strings, self.owners = [], []
+
+    def _start_page(self):
+        self._first, self._first_string = len(self.ids), len(self.strings)
+        self._stack, self._open, self._text = [], {}, []
+        self._hidden = self._verbatim = 0
+        self._append("[document]", ())
+        self._stack.append((0, "[document]"))
+
+    def _append(self, tag, attrs):
+        node = len(self.ids) - self._first
+        at = len(self.strings) - self._first_string
+        self.ids.append(node)
+        self.parents.append(self._stack[-1][0] if self._stack else None)
+        self.lasts.append(node)
+        self.depths.append(len(self._stack))
+        self.tags.append(tag)
+        self.p0.append(at)
+        self.p1.append(at)
+        if attrs:
+            unique = dict(attrs)
+            self.attr_names.extend(unique)
+            self.attr_values.extend(v or "" for v in unique.values())
+        self.attr_ends.append(len(self.attr_names))
+        return node
 
     def _flush(self):
-        if not self._text:
-            return
         text = "".join(self._text)
-        self._text = []
+        self._text.clear()
         if self._hidden:
             return
         if not self._verbatim and not text.strip(ASCII_SPACE):
@@ -70,108 +93,157 @@ class _Tree(HTMLParser):
         self.strings.append(text)
         self.owners.append(self._stack[-1][0])
 
-    def _push(self, tag, attrs):
-        self._flush()
-        node = [
-            len(self.nodes), self._stack[-1][0], len(self.nodes), len(self._stack), tag,
-            list({k: v or "" for k, v in attrs}.items()), len(self.strings), len(self.strings),
-        ]
-        self.nodes.append(node)
-        return node
-
     def _pop(self):
-        node = self._stack.pop()
-        node[2] = len(self.nodes) - 1
-        node[7] = len(self.strings)
-        tag = node[4]
-        if tag in self._open:
-            self._open[tag] -= 1
+        node, tag = self._stack.pop()
+        self.lasts[self._first + node] = len(self.ids) - self._first - 1
+        self.p1[self._first + node] = len(self.strings) - self._first_string
         self._hidden -= tag in HIDDEN_TEXT_TAGS
         self._verbatim -= tag in VERBATIM_TAGS
         return tag
 
     def handle_starttag(self, tag, attrs):
-        node = self._push(tag, attrs)
+        if self._text:
+            self._flush()
+        node = self._append(tag, attrs)
         if tag in VOID_TAGS:
             return
-        self._stack.append(node)
+        self._stack.append((node, tag))
         self._open[tag] = self._open.get(tag, 0) + 1
         self._hidden += tag in HIDDEN_TEXT_TAGS
         self._verbatim += tag in VERBATIM_TAGS
 
     def handle_startendtag(self, tag, attrs):
-        self._push(tag, attrs)
+        self.handle_comment(None)
+        self._append(tag, attrs)
 
     def handle_endtag(self, tag):
-        self._flush()
+        if self._text:
+            self._flush()
         if self._open.get(tag):
-            while self._pop() != tag:
-                pass
+            popped = None
+            while popped != tag:
+                popped = self._pop()
+                self._open[popped] -= 1
 
     def handle_data(self, data):
         self._text.append(data)
 
     def handle_comment(self, data):
-        self._flush()
+        if self._text:
+            self._flush()
 
     handle_decl = handle_pi = handle_comment
 
     def unknown_decl(self, data):
-        self._flush()
+        self.handle_comment(None)
         if data.upper().startswith("CDATA["):
             self._text.append(data[6:])
             self._flush()
 
-    def finish(self):
-        self.close()
-        self._flush()
+    def updatepos(self, i, j):
+        return j  # no line numbers wanted
+
+    def _markup(self, html, at):
+        """Handle the markup at a ``<``; gives the place after it, or -1 where
+        the page ends inside it."""
+        plain = _PLAIN_TAG.match(html, at)
+        if plain:
+            closing, opening, attrs = plain.groups()
+            if closing:
+                self.handle_endtag(closing.lower())
+                return plain.end()
+            tag = opening.lower()
+            if tag not in self.CDATA_CONTENT_ELEMENTS:
+                found = [(k.lower(), unescape(v)) for k, v in _PLAIN_ATTR.findall(attrs)] if attrs else ()
+                self.handle_starttag(tag, found)
+                return plain.end()
+        following = html[at + 1:at + 2]
+        if following.isascii() and following.isalpha():
+            return self.parse_starttag(at)
+        if following == "/":
+            return self.parse_endtag(at)
+        if html.startswith("<!--", at):
+            return self.parse_comment(at)
+        if following == "?":
+            return self.parse_pi(at)
+        if following == "!":
+            return self.parse_html_declaration(at)
+        self.handle_data("<")
+        return at + 1
+
+    def _walk(self, html):
+        self.reset()
+        self.rawdata = html
+        at = 0
+        while (mark := html.find("<", at)) >= 0:
+            if mark > at:
+                self._text.append(unescape(html[at:mark]))
+            at = self._markup(html, mark)
+            if at < 0:
+                self.rawdata = html[mark:]
+                self.close()
+                return
+            if self.cdata_elem:  # script or style: nothing counts before its end tag
+                end = re.compile(rf"</\s*{self.cdata_elem}\s*>", re.I).search(html, at)
+                if end is None:
+                    return
+                self._text.append(html[at:end.start()])
+                self.handle_endtag(self.cdata_elem)
+                self.clear_cdata_mode()
+                at = end.end()
+        if at < len(html):
+            self._text.append(unescape(html[at:]))
+
+    def add(self, html):
+        """Parse one page. Markup that the tokenizer rejects gives an empty page."""
+        self._start_page()
+        try:
+            self._walk(html or "")
+        except AssertionError:
+            self._drop_page()
+        if self._text:
+            self._flush()
         while self._stack:
             self._pop()
-
-
-def _parse(html):
-    tree = _Tree()
-    try:
-        tree.feed(html or "")
-        tree.finish()
-    except (AssertionError, ValueError):  # markup the tokenizer rejects: an empty page
-        tree = _Tree()
-        tree.finish()
-    return tree
-
-
-def _offsets(lists):
-    ends = [0]
-    for items in lists:
-        ends.append(ends[-1] + len(items))
-    return pa.array(ends, pa.int32())
-
-
-def _lists(lists, kind):
-    return pa.ListArray.from_arrays(_offsets(lists), pa.array([v for items in lists for v in items], kind))
-
-
-def _node_lists(lists):
-    """List-of-struct array, built field by field."""
-    fields = list(NODE)
-    columns = zip(*(node for nodes in lists for node in nodes))
-    arrays = [pa.array(list(c), f.type) for c, f in zip(columns, fields)]
-    return pa.ListArray.from_arrays(_offsets(lists), pa.StructArray.from_arrays(arrays, fields=fields))
+        self.page_ends.append(len(self.ids))
+        self.string_ends.append(len(self.strings))
+
+    def _drop_page(self):
+        for column in (self.ids, self.parents, self.lasts, self.depths, self.tags, self.p0, self.p1):
+            del column[self._first:]
+        del self.attr_ends[self._first + 1:]
+        del self.attr_names[self.attr_ends[-1]:], self.attr_values[self.attr_ends[-1]:]
+        del self.strings[self._first_string:], self.owners[self._first_string:]
+        self._start_page()
+
+    def columns(self):
+        """The parsed pages as Arrow list columns: nodes, strings, owners."""
+        ints = pa.int32()
+        attrs = pa.MapArray.from_arrays(
+            pa.array(self.attr_ends, ints), pa.array(self.attr_names, pa.string()), pa.array(self.attr_values, pa.string())
+        )
+        numbers = [pa.array(c, ints) for c in (self.ids, self.parents, self.lasts, self.depths)]
+        nodes = pa.StructArray.from_arrays(
+            [*numbers, pa.array(self.tags, pa.string()), attrs, pa.array(self.p0, ints), pa.array(self.p1, ints)],
+            names=["id", "parent", "last", "depth", "tag", "attrs", "p0", "p1"],
+        )
+        pages, strings = pa.array(self.page_ends, ints), pa.array(self.string_ends, ints)
+        return [
+            pa.ListArray.from_arrays(pages, nodes),
+            pa.ListArray.from_arrays(strings, pa.array(self.strings, pa.string())),
+            pa.ListArray.from_arrays(strings, pa.array(self.owners, ints)),
+        ]
 
 
 def parse_batches(batches):
     for batch in batches:
         for start in range(0, batch.num_rows, _SLICE):
             part = batch.slice(start, _SLICE)
-            trees = [_parse(html.as_py()) for html in part.column("html")]
+            trees = _Trees()
+            for html in part.column("html"):
+                trees.add(html.as_py())
             yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("page_id"),
-                    part.column("url"),
-                    _node_lists([t.nodes for t in trees]),
-                    _lists([t.strings for t in trees], pa.string()),
-                    _lists([t.owners for t in trees], pa.int32()),
-                ],
+                [part.column("page_id"), part.column("url"), *trees.columns()],
                 names=["page_id", "url", "nodes", "strings", "owners"],
             )
 
