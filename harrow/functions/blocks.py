@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from harrow.functions import patterns as P
-from harrow.functions.text import has_any, one_line, truncate
+from harrow.functions.text import has_any, one_line, only_if, truncate
 from harrow.schema import NA
 
 
@@ -39,7 +39,7 @@ def article_deadline(c):
     values = []
     for pattern in P.ARTICLE_DEADLINE:
         value = one_line(F.regexp_extract(c, P.java(pattern, ignore_case=True), 1))
-        values.append(F.when(F.length(value).between(1, 99), value))
+        values.append(only_if(value, lambda v: F.length(v).between(1, 99)))
     return F.coalesce(*values, F.lit(NA))
 
 

@@ -6,6 +6,16 @@ from harrow.functions.patterns import DEADLINE_WORDS, HTML_TAG, SPACE_CLASS, WHI
 from harrow.schema import NA, NULL_LIKE, NULL_TOKENS
 
 
+def let(value, use):
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def only_if(value, test):
+    """The value where it passes the test, else NULL; computed once."""
+    return F.get(F.filter(F.array(value), test), F.lit(0))
+
+
 def is_na(c):
     """NULL or the literal N/A."""
     return c.isNull() | (c == NA)

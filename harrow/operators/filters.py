@@ -16,9 +16,13 @@ def named_and_sourced(df):
     return df.where(not_na_literal(F.col("name")) & not_na_literal(F.col("source")))
 
 
+def is_valid_name(name):
+    return name.isNotNull() & ~name.isin("", NA)
+
+
 def valid_name(df):
     """Keep rows with a real, non-empty name."""
-    return df.where(F.col("name").isNotNull() & (F.col("name") != "") & (F.col("name") != NA))
+    return df.where(is_valid_name(F.col("name")))
 
 
 def is_item_candidate(text):

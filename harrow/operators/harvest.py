@@ -6,13 +6,13 @@ from harrow.functions import blocks as B
 from harrow.functions import patterns as P
 from harrow.functions.classify import program_type, study_level
 from harrow.functions.text import (
-    bullet, has_any, is_bullet, join_lines, keyword_line, labelled_field, resolve_url, truncate,
+    bullet, has_any, is_bullet, join_lines, keyword_line, labelled_field, let, resolve_url, truncate,
 )
 from harrow.operators import pages as G
 from harrow.operators.dedup import first_seen_links, keep_first_in_feed
 from harrow.operators.filters import (
     has_link_prefix, is_heading_candidate, is_item_candidate, is_paragraph_candidate,
-    is_requirement_item, valid_name,
+    is_requirement_item, is_valid_name,
 )
 from harrow.schema import COMMON, ENTRY_EXTRAS, NA
 
@@ -91,7 +91,7 @@ def harvest_headings(parsed, source, site_root, url=None, dedup=True):
         def read(t):
             return F.struct(B.amount_rupee(t).alias("amount"), keyword_line(t).alias("deadline"))
 
-        return G.first(F.transform(F.array(G.raw_text(_strings(), n)), read))
+        return let(G.raw_text(_strings(), n), read)
 
     found = parsed.select("page_id", "url", "nodes", "strings", G.tagged(_nodes(), "h3").alias("found"))
     found = found.withColumn("facts", _per_parent(F.col("found"), facts))
@@ -126,7 +126,7 @@ def harvest_cascade(parsed, source, url=None, dedup=True):
     """List items that look like listings; where a page has none, paragraphs;
     where it has none of these either, headings with the paragraph after them."""
     content = F.col("content")
-    page = parsed.withColumn("content", G.main_content(_nodes(), CASCADE_CONTENT)).where(content.isNotNull())
+    page = parsed.withColumn("content", G.main_content(_nodes(), CASCADE_CONTENT))
 
     def picked(tags, test, next_paragraph=False):
         def record(n):
@@ -173,8 +173,8 @@ def article_links(parsed):
 
 def page_title(parsed):
     """Classed h1, else any h1."""
-    title = parsed.select("page_id", "strings", G.main_content(_nodes(), ARTICLE_TITLE).alias("title"))
-    return title.where(F.col("title").isNotNull()).select("page_id", G.text(_strings(), F.col("title")).alias("title"))
+    title = G.text(_strings(), G.main_content(_nodes(), ARTICLE_TITLE))
+    return G.rows_where(parsed.select("page_id", title.alias("title")), lambda r: r["title"].isNotNull())
 
 
 def lead_paragraphs_of(content):
@@ -186,9 +186,8 @@ def lead_paragraphs_of(content):
 
 def lead_paragraphs(parsed):
     page = parsed.withColumn("content", G.main_content(_nodes(), ARTICLE_CONTENT))
-    return page.where(F.col("content").isNotNull()).select(
-        "page_id", lead_paragraphs_of(F.col("content")).alias("lead")
-    )
+    leads = page.select("page_id", F.when(F.col("content").isNotNull(), lead_paragraphs_of(F.col("content"))).alias("lead"))
+    return G.rows_where(leads, lambda r: r["lead"].isNotNull())
 
 
 def with_eligibility(page):
@@ -254,17 +253,18 @@ def _article_pages(parsed):
 
 
 def eligibility_section(parsed):
-    page = with_eligibility(_article_pages(parsed).where(F.col("content").isNotNull()))
-    return page.select("page_id", "eligibility")
+    page = with_eligibility(_article_pages(parsed))
+    found = F.when(F.col("content").isNotNull(), F.col("eligibility"))
+    return G.rows_where(page.select("page_id", found.alias("eligibility")), lambda r: r["eligibility"].isNotNull())
 
 
 def harvest_articles(parsed, source, url=None):
     """One record per titled page. Repeats are kept."""
     page = _article_pages(parsed).withColumn("title_node", G.main_content(_nodes(), ARTICLE_TITLE))
     page = page.withColumn("name", G.text(_strings(), F.col("title_node")))
-    page = with_eligibility(valid_name(page))
+    page = with_eligibility(page)
     full = F.coalesce(F.col("full_text"), F.lit(""))
-    return _listing(
+    out = _listing(
         page.withColumn("node_id", F.col("title_node.id")),
         source,
         url,
@@ -276,6 +276,7 @@ def harvest_articles(parsed, source, url=None):
         contact=B.article_contact(full),
         application_url=F.col("url"),
     )
+    return G.rows_where(out, lambda r: is_valid_name(r["name"]))
 
 
 def harvest_entries(parsed, source, base_url, contact, country, languages, url=None):
@@ -297,7 +298,7 @@ def harvest_entries(parsed, source, base_url, contact, country, languages, url=N
         block = G.first(F.filter(G.text_blocks(_strings(), n), lambda t: F.length(t) > 50))
         description = truncate(F.coalesce(paragraph, block, F.lit(NA)), 500)
         return F.struct(
-            G.first(F.transform(F.array(G.piped_text(_strings(), n)), fields)).alias("fields"),
+            let(G.piped_text(_strings(), n), fields).alias("fields"),
             description.alias("description"),
         )
 

@@ -14,7 +14,7 @@ expressions on that row, with no join, window or shuffle.
 
 from pyspark.sql import functions as F
 
-from harrow.functions.text import strip
+from harrow.functions.text import let, strip
 from harrow.operators.page_tree import NODES_TYPE, PARSED_SCHEMA, parse_batches
 
 
@@ -89,22 +89,31 @@ def _strings(strings, n):
     return _span(strings, n["p0"], n["p1"], "array<string>")
 
 
-def raw_text(strings, n):
-    return F.array_join(_strings(strings, n), "")
+def raw_text(strings, node):
+    return let(node, lambda n: F.array_join(_strings(strings, n), ""))
 
 
-def text_blocks(strings, n):
+def text_blocks(strings, node):
     """Non-empty stripped strings of a node."""
-    return F.filter(F.transform(_strings(strings, n), strip), lambda t: t != "")
+    return let(node, lambda n: F.filter(F.transform(_strings(strings, n), strip), lambda t: t != ""))
 
 
-def text(strings, n):
+def text(strings, node):
     """Stripped strings, joined without a separator."""
-    return F.array_join(F.transform(_strings(strings, n), strip), "")
+    return let(node, lambda n: F.array_join(F.transform(_strings(strings, n), strip), ""))
 
 
-def piped_text(strings, n):
-    return F.array_join(text_blocks(strings, n), " | ")
+def piped_text(strings, node):
+    return F.array_join(text_blocks(strings, node), " | ")
+
+
+def rows_where(df, test):
+    """Rows whose computed columns pass a test.
+
+    A plain filter would be pushed below the projection and its expressions,
+    heavy array walks here, be worked out once more for it.
+    """
+    return df.select(F.inline(F.filter(F.array(F.struct(*df.columns)), test)))
 
 
 # --- relational views --------------------------------------------------------
