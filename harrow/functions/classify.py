@@ -3,15 +3,20 @@
 from pyspark.sql import functions as F
 
 from harrow.functions import patterns as P
-from harrow.functions.text import has_any
+from harrow.functions.text import holds, let
 from harrow.schema import NA
 
 
 def keyword_class(lower_text, rules, default):
-    chain = F
-    for words, label in rules:
-        chain = chain.when(has_any(lower_text, words), F.lit(label))
-    return chain.otherwise(F.lit(default))
+    """Label of the first rule with a word in the text."""
+
+    def pick(t):
+        chain = F
+        for words, label in rules:
+            chain = chain.when(holds(t, words), F.lit(label))
+        return chain.otherwise(F.lit(default))
+
+    return let(lower_text, pick)
 
 
 def loan_type(rule_text):

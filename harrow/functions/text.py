@@ -53,26 +53,39 @@ def strip_tags(c):
 def clean_text(c):
     """Trim, collapse, fold nulls, then drop tags. Tags go last, so a cell of
     tags only ends as an empty string."""
-    return strip_tags(null_like(collapse_spaces(strip(c))))
+    return strip_tags(let(collapse_spaces(strip(c)), null_like))
 
 
 def clean_eligibility(c):
+    """Trimmed text without blank lines, cut after 500 characters."""
     lines = F.regexp_replace(strip(c), java(r"\n\s*\n"), "\n")
     lines = F.regexp_replace(lines, r"\n+", "\n")
-    short = F.when(F.length(lines) > 500, F.concat(F.substring(lines, 1, 500), F.lit("..."))).otherwise(lines)
-    return F.when(is_na(c) | (strip(c) == ""), F.lit(NA)).otherwise(short)
+
+    def shorten(t):
+        return (
+            F.when(t == "", F.lit(NA))
+            .when(F.length(t) > 500, F.concat(F.substring(t, 1, 500), F.lit("...")))
+            .otherwise(t)
+        )
+
+    return F.when(is_na(c), F.lit(NA)).otherwise(let(lines, shorten))
 
 
 def truncate(c, size):
     return F.substring(c, 1, size)
 
 
-def has_any(lower_text, words):
-    """True where the (already lower-cased) text holds any of the words, as
-    plain substrings without word boundaries."""
+def holds(lower_text, words):
+    """True where a lower-cased text holds any of the words, as plain substrings
+    without word boundaries. The text is read per word: pass a bound value."""
     return F.exists(F.split(F.lit("|".join(words)), r"\|"), lambda word: F.contains(lower_text, word))
 
 
+def has_any(lower_text, words):
+    """``holds`` for any text expression."""
+    return let(lower_text, lambda t: holds(t, words))
+
+
 def rule_text(*columns):
     """Lower-cased text that the keyword rules look at; a NULL reads 'nan'."""
     return F.lower(F.concat_ws(" ", *[F.coalesce(c, F.lit("nan")) for c in columns]))
