@@ -63,13 +63,19 @@ def completeness(df, fields):
 
 
 def merge_summary(df):
-    """Totals of a merged table; a NULL description counts as filled."""
+    """Totals of a merged table. A NULL counts as filled, and so does a column
+    that no feed has."""
+
+    def filled(name, blank):
+        c = F.col(name) if name in df.columns else F.lit(None).cast("string")
+        return F.count_if(~c.eqNullSafe(F.lit(blank)))
+
     return df.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_distinct("source").alias("sources"),
-        F.count_if(not_na_literal(F.col("funding_amount"))).alias("with_amount"),
-        F.count_if(not_na_literal(F.col("deadline"))).alias("with_deadline"),
-        F.count_if(~F.col("description").eqNullSafe(F.lit(""))).alias("with_description"),
+        filled("funding_amount", "N/A").alias("with_amount"),
+        filled("deadline", "N/A").alias("with_deadline"),
+        filled("description", "").alias("with_description"),
     )
 
 
