@@ -433,18 +433,18 @@ def _(spark, sf):
 
 @check(
     "expand_dimension",
-    "SELECT n_nationkey AS row_id, 'Approved institute: ' || n_name AS name,"
-    " 'Degree institute, code: ' || n_nationkey || ' / ' || n_name AS description, 'Rs. 600,000' AS funding_amount,"
-    " 'N/A - Ongoing' AS deadline, 'scheme' AS source FROM nation",
+    "SELECT c_custkey AS row_id, 'Approved institute: ' || c_name AS name,"
+    " 'Degree institute, code: ' || c_custkey || ' / ' || c_mktsegment AS description, 'Rs. 600,000' AS funding_amount,"
+    " 'N/A - Ongoing' AS deadline, 'scheme' AS source FROM customer",
 )
 def _(spark, sf):
-    nation = table(spark, sf, "nation").withColumnRenamed("n_nationkey", "row_id")
+    institutes = table(spark, sf, "customer").withColumnRenamed("c_custkey", "row_id")
     templates = {
-        "name": ("Approved institute: %s", ["n_name"]),
-        "description": ("Degree institute, code: %s / %s", ["row_id", "n_name"]),
+        "name": ("Approved institute: %s", ["c_name"]),
+        "description": ("Degree institute, code: %s / %s", ["row_id", "c_mktsegment"]),
     }
     constants = {"funding_amount": "Rs. 600,000", "deadline": "N/A - Ongoing", "source": "scheme"}
-    return expand.expand_dimension(nation, templates, constants, ORDER)
+    return expand.expand_dimension(institutes, templates, constants, ORDER)
 
 
 # --- text, extraction, classes, scores: one column each ----------------------

@@ -42,6 +42,13 @@ def _fs(spark, path):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def parts(spark, folder):
+    """Part files of a folder that Spark wrote, in order."""
+    fs, path = _fs(spark, folder)
+    names = [s.getPath() for s in fs.listStatus(path)]
+    return sorted(p.toString() for p in names if p.getName().startswith("part-"))
+
+
 def discover(spark, folder, rule, exclude_outputs=False):
     """Paths of the feed files of a folder, by name. A feed may be one file or
     a folder of part files as Spark writes it."""
@@ -54,8 +61,7 @@ def discover(spark, folder, rule, exclude_outputs=False):
         if not _wanted(name, rule, exclude_outputs):
             continue
         if status.isDirectory():
-            parts = [s.getPath() for s in fs.listStatus(status.getPath())]
-            found += [p.toString() for p in parts if p.getName().startswith("part-")]
+            found += parts(spark, status.getPath().toString())
         else:
             found.append(status.getPath().toString())
     return sorted(found)
