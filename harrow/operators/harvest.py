@@ -64,10 +64,11 @@ def container_text(parsed, *tags):
     """Text of the parent of each node with one of the tags."""
     found = parsed.select("page_id", "nodes", "strings", G.tagged(_nodes(), *tags).alias("found"))
     texts = found.withColumn("texts", _per_parent(F.col("found"), lambda n: G.raw_text(_strings(), n)))
-    rows = F.transform(F.col("found"), lambda n: F.struct(n["id"].alias("node_id"), n["parent"].alias("parent")))
-    return texts.select("page_id", "texts", F.inline(rows)).select(
-        *PLACE, F.col("texts")[F.col("parent")].alias("container_text")
+    rows = F.transform(
+        F.col("found"),
+        lambda n: F.struct(n["id"].alias("node_id"), F.col("texts")[n["parent"]].alias("container_text")),
     )
+    return texts.select("page_id", F.inline(rows))
 
 
 def heading_next(parsed, headings, following):
@@ -77,10 +78,10 @@ def heading_next(parsed, headings, following):
         lambda n: F.struct(
             n["id"].alias("node_id"),
             G.text(_strings(), n).alias("heading"),
-            G.text(_strings(), G.next_tagged(_nodes(), n, *following)).alias("next_text"),
+            G.text(_strings(), G.next_of(F.col("later"), _nodes(), n, G.has_tag(*following))).alias("next_text"),
         ),
     )
-    return parsed.select("page_id", F.inline(rows))
+    return parsed.withColumn("later", G.tagged(_nodes(), *following)).select("page_id", F.inline(rows))
 
 
 def harvest_headings(parsed, source, site_root, url=None, dedup=True):
@@ -93,21 +94,24 @@ def harvest_headings(parsed, source, site_root, url=None, dedup=True):
 
         return let(G.raw_text(_strings(), n), read)
 
-    found = parsed.select("page_id", "url", "nodes", "strings", G.tagged(_nodes(), "h3").alias("found"))
+    found = parsed.select(
+        "page_id", "url", "nodes", "strings",
+        G.tagged(_nodes(), "h3").alias("found"),
+        G.tagged(_nodes(), "p", "div").alias("blocks"),
+        G.links(_nodes()).alias("links"),
+    )
     found = found.withColumn("facts", _per_parent(F.col("found"), facts))
     rows = F.transform(
         F.col("found"),
         lambda n: F.struct(
             n["id"].alias("node_id"),
-            n["parent"].alias("parent"),
+            F.col("facts")[n["parent"]].alias("fact"),
             G.text(_strings(), n).alias("title"),
-            G.text(_strings(), G.next_tagged(_nodes(), n, "p", "div")).alias("next_text"),
-            G.next_link(_nodes(), n)["attrs"]["href"].alias("href"),
+            G.text(_strings(), G.next_of(F.col("blocks"), _nodes(), n, G.has_tag("p", "div"))).alias("next_text"),
+            G.next_of(F.col("links"), _nodes(), n, G.is_link)["attrs"]["href"].alias("href"),
         ),
     )
-    records = found.select("page_id", "url", "facts", F.inline(rows)).withColumn(
-        "fact", F.col("facts")[F.col("parent")]
-    )
+    records = found.select("page_id", "url", F.inline(rows))
     next_text = F.col("next_text")
     out = _listing(
         records.where(F.col("title") != ""),
@@ -126,11 +130,14 @@ def harvest_cascade(parsed, source, url=None, dedup=True):
     """List items that look like listings; where a page has none, paragraphs;
     where it has none of these either, headings with the paragraph after them."""
     content = F.col("content")
-    page = parsed.withColumn("content", G.main_content(_nodes(), CASCADE_CONTENT))
+    page = parsed.withColumns(
+        {"content": G.main_content(_nodes(), CASCADE_CONTENT), "paragraphs": G.tagged(_nodes(), "p")}
+    )
 
     def picked(tags, test, next_paragraph=False):
         def record(n):
-            after = G.text(_strings(), G.next_tagged(_nodes(), n, "p")) if next_paragraph else F.lit("")
+            paragraph = G.next_of(F.col("paragraphs"), _nodes(), n, G.has_tag("p"))
+            after = G.text(_strings(), paragraph) if next_paragraph else F.lit("")
             return F.struct(
                 n["id"].alias("node_id"),
                 G.text(_strings(), n).alias("text"),
@@ -317,12 +324,11 @@ def harvest_entries(parsed, source, base_url, contact, country, languages, url=N
     rows = F.transform(
         F.col("found"),
         lambda t: F.struct(
-            t["id"].alias("node_id"), t["parent"].alias("parent"),
+            t["id"].alias("node_id"), F.col("facts")[t["parent"]].alias("fact"),
             G.text(_strings(), t["a"]).alias("title"), t["a"]["attrs"]["href"].alias("href"),
         ),
     )
-    records = found.select("page_id", "url", "facts", F.inline(rows))
-    records = records.withColumn("fact", F.col("facts")[F.col("parent")]).select("*", "fact.fields.*")
+    records = found.select("page_id", "url", F.inline(rows)).select("*", "fact.fields.*")
     status, subject = F.col("status"), F.col("subject")
     return _listing(
         records,

@@ -18,6 +18,10 @@ from harrow.functions.text import let, strip
 from harrow.operators.page_tree import NODES_TYPE, PARSED_SCHEMA, parse_batches
 
 
+# nodes to look at before a search goes over all candidates of the page
+_NEAR = 64
+
+
 def parse_pages(pages):
     """One node tree per page. The only Python in the engine; filter pages
     before this step, nothing is pushed through it."""
@@ -45,25 +49,30 @@ def reach(nodes, n, count):
     return _span(nodes, n["id"] + 1, F.least(n["id"] + 1 + count, F.size(nodes)), NODES_TYPE)
 
 
-def next_tagged(nodes, n, *tags):
-    """First node with one of the tags after a node's start tag, its own
-    descendants included."""
-    return first(F.filter(nodes, lambda m: (m["id"] > n["id"]) & m["tag"].isin(*tags)))
+def next_of(candidates, nodes, n, test):
+    """First of the page's candidates after a node's start tag, its own
+    descendants included. ``candidates`` are the nodes that pass ``test``, as a
+    column worked out once per page; looking nearby first keeps a page with many
+    headings from walking them all for each."""
+    near = first(F.filter(reach(nodes, n, _NEAR), test))
+    return F.coalesce(near, first(F.filter(candidates, lambda m: m["id"] > n["id"])))
 
 
-def next_link(nodes, n):
-    return first(
-        F.filter(nodes, lambda m: (m["id"] > n["id"]) & (m["tag"] == "a") & m["attrs"]["href"].isNotNull())
-    )
+def has_tag(*tags):
+    return lambda m: m["tag"].isin(*tags)
 
 
 def tagged(nodes, *tags):
-    return F.filter(nodes, lambda m: m["tag"].isin(*tags))
+    return F.filter(nodes, has_tag(*tags))
+
+
+def is_link(m):
+    """An anchor that carries an href."""
+    return (m["tag"] == "a") & m["attrs"]["href"].isNotNull()
 
 
 def links(nodes):
-    """Anchors that carry an href."""
-    return F.filter(nodes, lambda m: (m["tag"] == "a") & m["attrs"]["href"].isNotNull())
+    return F.filter(nodes, is_link)
 
 
 def classed(nodes, tag, classes):
