@@ -178,6 +178,11 @@ def article_links(parsed):
     return first_seen_links(parsed.select("page_id", F.inline(rows)).where(F.col("link") != ""), PLACE)
 
 
+def follow_links(pages, links):
+    """Pages behind the links that listing pages gave, unparsed, each once."""
+    return pages.join(links.select(F.col("link").alias("url")), "url", "left_semi").select(*pages.columns)
+
+
 def page_title(parsed):
     """Classed h1, else any h1."""
     title = G.text(_strings(), G.main_content(_nodes(), ARTICLE_TITLE))

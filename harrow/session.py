@@ -17,6 +17,8 @@ def local_session(cores="*", name="harrow", **conf):
         "spark.driver.memory": "12g",
         # pages are large cells: small Arrow batches keep Python workers small
         "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+        # no call-site capture per column call: plans are built faster
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     builder = SparkSession.builder.master(f"local[{cores}]").appName(name)

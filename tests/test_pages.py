@@ -188,6 +188,16 @@ def test_links(spark):
     assert _rows(harvest.article_links(parsed), "page_id", "link") == [(0, "/1"), (1, "/3")]
 
 
+def test_follow_links(spark):
+    listing = _pages(spark, "<article><a href='https://s.org/a'>y</a></article><article><a href='https://s.org/gone'>y</a></article>")
+    articles = spark.createDataFrame(
+        [(7, "https://s.org/a", "<h1>A</h1>"), (8, "https://s.org/b", "<h1>B</h1>")], "page_id long, url string, html string"
+    )
+    found = harvest.follow_links(articles, harvest.article_links(listing))
+    out = harvest.harvest_articles(pages.parse_pages(found), _src())
+    assert _rows(out, "page_id", "name", "application_url") == [(7, "A", "https://s.org/a")]
+
+
 def test_page_plan_has_no_shuffle(spark):
     plan = harvest.harvest_articles(_pages(spark, "<p>x</p>"), _src())._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and plan.count("MapInArrow") == 1

@@ -203,6 +203,17 @@ def test_stream_equals_batch(spark, tmp_path):
     assert got.columns == want.columns and got.exceptAll(want).isEmpty() and got.count() == want.count() == 1
 
 
+def test_scholarship_rows_on_a_stream_plan(spark, tmp_path):
+    from harrow.streaming.rowwise import clean_scholarship_rows
+
+    batch = spark.createDataFrame([("A", "s", "by 1/2/2026"), ("A", "N/A", "x")], "name string, source string, deadline string")
+    batch.write.parquet(str(tmp_path / "in"))
+    rows = clean_scholarship_rows(spark.readStream.schema(batch.schema).parquet(str(tmp_path / "in")))
+    assert rows.isStreaming and rows.columns == clean_scholarship_rows(batch).columns
+    # a source of N/A reads as NULL, and a NULL source passes
+    assert {(r["source"], r["deadline"]) for r in clean_scholarship_rows(batch).collect()} == {("s", "1/2/2026"), (None, "x")}
+
+
 @pytest.mark.parametrize("fallback, names", [(False, 1), (True, 3)])
 def test_bank_rows_collapse_unless_asked(spark, fallback, names):
     rows = [(i, f"bank {i}", f"product {i}", "s") for i in range(3)]
