@@ -10,11 +10,10 @@ from harrow.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = local_session(4, "tests", **{
         "spark.sql.shuffle.partitions": "4",
         "spark.driver.memory": "4g",
-        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("stage")),
     })
     session.sparkContext.setLogLevel("ERROR")
     yield session
