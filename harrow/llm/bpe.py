@@ -3,6 +3,7 @@
 from collections.abc import Iterator
 from itertools import chain
 
+import numpy as np
 import pandas as pd
 import public_tokenizers
 from pyspark.sql import functions as F
@@ -25,9 +26,12 @@ def encoder(spark, path, pattern=public_tokenizers.PATTERN):
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         ids, split = tasks.Ids(tasks.from_ranks, shared.value), tasks.splitter(pattern)
         for batch in batches:
-            pieces = [split(t) if t else [] for t in batch]
-            known = ids.learn(chain.from_iterable(pieces))
-            yield pd.Series([list(chain.from_iterable(map(known.__getitem__, p))) for p in pieces], dtype=object)
+            out = []
+            for part in tasks.slices(batch):
+                pieces = [split(t) for t in part]
+                known = ids.learn(chain.from_iterable(pieces))
+                out += [np.fromiter(chain.from_iterable(map(known.__getitem__, p)), np.int32) for p in pieces]
+            yield pd.Series(out, dtype=object)
 
     return F.pandas_udf(encode, "array<int>").asNondeterministic()
 
@@ -39,7 +43,7 @@ def decoder(spark, path):
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         pieces = tasks.Ids(tasks.from_ranks, shared.value).merges.pieces
         for batch in batches:
-            yield pd.Series([b"".join(map(pieces.__getitem__, x)) if x is not None else b"" for x in batch], dtype=object)
+            yield pd.Series([b"".join(map(pieces.__getitem__, x.tolist())) if x is not None else b"" for x in batch], dtype=object)
 
     return F.pandas_udf(decode, "binary").asNondeterministic()
 

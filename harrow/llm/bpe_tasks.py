@@ -12,7 +12,8 @@ _FREE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _NONE = np.iinfo(np.int32).max
 _WIDTHS = (*range(2, 26, 2), 32, 48, 64, 96, 128, 192, 256)
 _CELLS = 1 << 17  # cells of one matrix
-_CACHE = 400_000  # pre-tokens whose ids a worker keeps, before those of one more batch
+_CACHE = 250_000  # pre-tokens whose ids a worker keeps, before those of one more slice
+_SLICE = 1_000_000  # characters handled together, but for a longer text
 _LOADED = {}
 
 
@@ -21,6 +22,7 @@ class Merges:
 
     def __init__(self, byte_ids, pieces, pairs):
         self.byte_ids = np.array(byte_ids, np.int32)
+        self.numbers = list(range(max(pieces) + 1))  # one object for each id, however often it is held
         self.pieces = pieces
         left, right, rank, made = (np.array(x, np.int64) for x in pairs)
         self.made = np.zeros(int(rank.max(initial=0)) + 1, np.int32)
@@ -80,6 +82,7 @@ class Merges:
         ids = self.byte_ids[flat].reshape(len(rows), width)
         sizes = np.array([len(texts[i]) for i in rows])
         ids[np.arange(width) >= sizes[:, None]] = -1
+        numbers = self.numbers
         ranks = self.lookup(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(rows), width - 1)
         while len(rows):
             best = ranks.argmin(axis=1)  # the leftmost of the least
@@ -87,7 +90,7 @@ class Merges:
             more = least < _NONE
             if not more.all():
                 for i, row in zip(rows[~more], ids[~more].tolist(), strict=True):
-                    out[i] = tuple(x for x in row if x >= 0)
+                    out[i] = tuple(numbers[x] for x in row if x >= 0)
                 rows, ids, ranks, best, least = rows[more], ids[more], ranks[more], best[more], least[more]
             if not len(rows):
                 return
@@ -127,7 +130,7 @@ class Merges:
                     r = int(self.lookup(np.array([ids[x]], np.int32), np.array([ids[after[x]]], np.int32))[0])
                     if r < _NONE:
                         heapq.heappush(heap, (r, x, ids[x], ids[after[x]]))
-        return tuple(x for x in ids if x >= 0)
+        return tuple(self.numbers[x] for x in ids if x >= 0)
 
 
 def from_ranks(data):
@@ -181,8 +184,6 @@ class Ids:
             _LOADED.clear()
             _LOADED[key] = load(data), {}
         self.merges, self.known = _LOADED[key]
-        # millions of short-lived strings and tuples, none in a cycle
-        gc.disable()
 
     def learn(self, pieces):
         if len(self.known) > _CACHE:
@@ -195,3 +196,20 @@ class Ids:
 
 def splitter(pattern):
     return regex.compile(pattern).findall
+
+
+def slices(texts):
+    """The texts of a batch (null: empty) in runs of bounded size, without garbage collection meanwhile."""
+    gc.disable()  # millions of short-lived strings and tuples, none in a cycle
+    try:
+        part, size = [], 0
+        for t in texts:
+            part.append(t or "")
+            size += len(part[-1])
+            if size >= _SLICE:
+                yield part
+                part, size = [], 0
+        if part:
+            yield part
+    finally:
+        gc.enable()

@@ -39,26 +39,28 @@ def counter(spark, path, pattern=public_tokenizers.PATTERN):
     shared = spark.sparkContext.broadcast((data, single_tokens(merges)))
     specials = sorted(specials, key=len, reverse=True)
 
+    def others(text, single, split):
+        """Tokens told at once, and the pre-tokens that are left."""
+        parts = [text]
+        for s in specials:
+            parts = [x for p in parts for x in p.split(s)]
+        n, rest = len(parts) - 1, []
+        for p in parts:
+            pieces = split(p)
+            n += len(pieces)
+            rest += [x for x in pieces if x not in single]
+        return n - len(rest), rest
+
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         data, single = shared.value
         ids, split = tasks.Ids(_merges, data), tasks.splitter(pattern)
         for batch in batches:
-            totals, rest = [], []
-            for t in batch:
-                n, parts = 0, [t or ""]
-                for s in specials:
-                    parts = [x for p in parts for x in p.split(s)]
-                n = (len(t or "") - sum(map(len, parts))) and len(parts) - 1
-                others = []
-                for p in parts:
-                    pieces = split(p)
-                    others += [x for x in pieces if x not in single]
-                    n += len(pieces)
-                totals.append(n - len(others))
-                rest.append(others)
-            known = ids.learn(x for others in rest for x in others)
-            yield pd.Series([n + sum(len(known[x]) for x in others) for n, others in zip(totals, rest, strict=True)],
-                            dtype="int64")
+            out = []
+            for part in tasks.slices(batch):
+                counted = [others(t, single, split) for t in part]
+                known = ids.learn(x for _, rest in counted for x in rest)
+                out += [n + sum(len(known[x]) for x in rest) for n, rest in counted]
+            yield pd.Series(out, dtype="int64")
 
     return F.pandas_udf(count, "long").asNondeterministic()
 
