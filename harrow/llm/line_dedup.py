@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from harrow.llm import line_tasks as tasks
 from harrow.llm.graph import blocks, components
-from harrow.llm.store import documents, written
+from harrow.llm.store import documents, maybe_broadcast, written
 
 LIMIT = 1  # edits
 MIN_CHARS = 20  # shorter lines are left alone
@@ -29,25 +29,27 @@ def dedup_lines(docs, limit=LIMIT, min_chars=MIN_CHARS, block=BLOCK, report="lin
     """
     minimum = max(min_chars, limit + 1)
     source = docs.drop(report)
-    keyed = source.select("doc_id", "text")
-    lines = keyed.select(*_key(), F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
+    spans = source.select("text", *_key())
+    lines = spans.select("doc", "mark", F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
     lines = lines.select("doc", "mark", "pos", F.btrim("raw", F.lit(" \t\r")).alias("line"))
-    lines = lines.where(F.char_length("line") >= minimum)
-    distinct = lines.groupBy("line").agg(F.count(F.lit(1)).alias("n"))
-    distinct = distinct.select(*_names(), "line", "n")
-    signs = distinct.select("id", F.explode(_signatures(limit)).alias("bucket"))
-    members = distinct.select("id", F.char_length("line").cast("long").alias("weight"))
-    placed = written(blocks(members, signs, block), "blocks")
-    sought = placed.join(distinct.select("id", "line"), "id").select("block", "id", "line")
-    sought = sought.repartition("block").sortWithinPartitions("block", "id")
+    lines = lines.select("*", F.char_length("line").alias("n")).where(F.col("n") >= minimum)
+    # one pass over the texts: every line by its hashes, without its text
+    placed = lines.select("doc", "mark", "pos", "n", *_names(), _signatures(limit).alias("signs"))
+    placed = written(placed, "lines")
+    distinct = placed.groupBy("id", "second").agg(F.count(F.lit(1)).alias("times"), F.max("n").alias("n"))
+    distinct = written(distinct, "distinct")
+    members = distinct.select("id", F.col("n").cast("long").alias("weight")).groupBy("id").agg(F.max("weight").alias("weight"))
+    close = written(blocks(members, placed.select("id", F.explode("signs").alias("bucket")), block), "blocks")
+    wanted = written(close.select("id").distinct(), "wanted")
+    texts = lines.select(_names()[0], "line").join(maybe_broadcast(wanted, 1_000_000), "id", "left_semi").distinct()
+    sought = close.join(written(texts, "texts"), "id").select("block", "id", "line")
+    sought = sought.repartition("block").sortWithinPartitions("block", "id", "line")
     groups = components(sought.mapInPandas(tasks.linker(limit), "a long, b long"))
-    repeated = distinct.select("id", "second", "n").join(groups, F.col("id") == F.col("node"), "left")
-    repeated = repeated.where("n > 1 or component is not null")
+    repeated = distinct.join(groups, F.col("id") == F.col("node"), "left").where("times > 1 or component is not null")
     repeated = written(repeated.select("id", "second", F.coalesce("component", "id").alias("class")), "repeated")
-    found = lines.select("doc", "mark", "pos", *_names()).join(repeated, ["id", "second"])
+    found = placed.select("doc", "mark", "pos", "id", "second").join(repeated, ["id", "second"])
     found = written(found.select("doc", "mark", "pos", "class"), "found")
-    # first by document, then by place within that document: two narrow minima, each combined in its task
-    at = F.struct(F.col("doc"), F.col("mark"), F.col("pos"))
+    at = F.struct("doc", "mark", "pos")
     firsts = written(found.groupBy("class").agg(F.min(at).alias("first")), "firsts")
     gone = found.join(firsts, "class").where(at != F.col("first"))
     gone = gone.groupBy("doc", "mark").agg(F.collect_set("pos").alias("gone"))
@@ -66,11 +68,12 @@ def _names():
 
 
 def _signatures(limit):
-    n, parts = F.char_length("line"), limit + 1
+    n, parts = F.col("n"), limit + 1
 
     def key(missing, i, shift):
         length = n - missing
-        width, short = F.floor(length / parts), parts - length % parts
+        short = parts - length % parts
+        width = ((length - length % parts) / parts).cast("int")
         start = width * i + F.greatest(F.lit(0), F.lit(i) - short) + shift
         width = width + (F.lit(i) >= short).cast("int")
         fits = (start >= 0) & (start + width <= n)
