@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from harrow.llm import bpe, line_dedup, minhash_dedup, quality_rules, source_mix
-from harrow.llm.store import documents, written
+from harrow.llm.store import documents, small_batches, written
 
 
 def quality(spark, docs, sf_dir):
     """Documents that pass the base rules and the limits on repeated passages."""
+    small_batches(spark)
     rated = quality_rules.rate(docs, report="_quality")
     return rated.where(F.col("_quality.kept")).select(*docs.columns)
 
@@ -30,6 +31,7 @@ def lines(spark, docs, sf_dir):
 
 def near_duplicates(spark, docs, sf_dir):
     """One document, the first, of each group of near duplicates."""
+    small_batches(spark)
     found = minhash_dedup.near_duplicates(docs)
     gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
@@ -42,11 +44,12 @@ def mix(spark, docs, sf_dir):
 
 def encode(spark, docs, sf_dir):
     """Ids of each text, and whether they decode to its bytes."""
-    path = public_tokenizers.path(bpe.RANKS)
-    rows = bpe.encode_texts(docs.select("doc_id", "lang", "source", "text"), path)
-    rows = bpe.decode_texts(rows, path, decoded="_bytes")
-    whole = F.col("_bytes") == F.coalesce("text", F.lit("")).cast("binary")
-    return rows.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", whole.alias("round_trip"))
+    small_batches(spark)
+    both = bpe.round_trip(spark, public_tokenizers.path(bpe.RANKS))("text")
+    rows = docs.select("doc_id", "lang", "source", "text", both.alias("done"))
+    whole = F.col("done.decoded") == F.coalesce("text", F.lit("")).cast("binary")
+    return rows.select("doc_id", "lang", "source", F.size("done.ids").cast("long").alias("n_tokens"), "done.ids",
+                       whole.alias("round_trip"))
 
 
 STAGES = [

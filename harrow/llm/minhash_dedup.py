@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from harrow.llm import minhash_tasks as tasks
 from harrow.llm.graph import blocks, components
-from harrow.llm.store import documents, maybe_broadcast, written
+from harrow.llm.store import documents, maybe_broadcast, small_batches, written
 
 SHINGLE = 5
 PERCENT = 85
@@ -61,6 +61,7 @@ def _classes(signed, firsts, groups):
 
 
 def op4_minhash_dedup(spark, sf_dir):
+    small_batches(spark)
     return near_duplicates(documents(spark, sf_dir))
 
 

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from harrow.llm import quality_tasks as tasks
-from harrow.llm.store import documents
+from harrow.llm.store import documents, small_batches
 
 LEAST = 10  # words of a repeat that counts
 MAX_COVERED = 30  # percent of the words that such repeats may cover
@@ -41,6 +41,7 @@ def rate(docs, least=LEAST, max_covered=MAX_COVERED, max_longest=MAX_LONGEST, re
 
 
 def op7_quality_rules(spark, sf_dir):
+    small_batches(spark)
     return rate(documents(spark, sf_dir).select("doc_id", "text")).select(
         "doc_id", "quality.*").drop("longest_repeat")
 

@@ -42,3 +42,10 @@ def documents(spark, sf_dir):
 def maybe_broadcast(table, rows):
     """A hint to broadcast a narrow written table, given only if it has at most so many rows; joins shuffle beyond."""
     return F.broadcast(table) if table.count() <= rows else table
+
+
+def small_batches(spark, rows=1000):
+    """Send whole texts to Python in smaller Arrow batches, unless the session asks for fewer rows already."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key, "10000")) > rows:
+        spark.conf.set(key, rows)

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from harrow.llm import bpe_tasks as tasks
-from harrow.llm.store import documents
+from harrow.llm.store import documents, small_batches
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 512
@@ -76,5 +76,6 @@ def count_tokens(docs, path, limit=LIMIT, pattern=public_tokenizers.PATTERN):
 
 
 def op3_token_counts(spark, sf_dir):
+    small_batches(spark)
     counted = count_tokens(documents(spark, sf_dir).select("doc_id", "text"), public_tokenizers.path(VOCABULARY))
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
