@@ -1,5 +1,8 @@
 """Ordered keyword classes, buckets and bands."""
 
+import sys
+import unicodedata
+
 from pyspark.sql import functions as F
 
 from harrow.functions import patterns as P
@@ -39,10 +42,20 @@ def program_type(title):
     return keyword_class(F.lower(title), P.PROGRAM_TYPE, NA)
 
 
+def _digits():
+    """Decimal digits of all scripts, and the ASCII ones that they stand for."""
+    known = [(chr(c), unicodedata.decimal(chr(c), None)) for c in range(128, sys.maxunicode + 1)]
+    known = [(c, str(d)) for c, d in known if d is not None]
+    return "".join(c for c, _ in known), "".join(d for _, d in known)
+
+
+_DIGITS = _digits()
+
+
 def duration_bucket(period):
     """Bucket by the first number in the period, whatever its unit."""
-    digits = F.regexp_extract(F.coalesce(period, F.lit("")), r"\d+", 0)
-    number = digits.try_cast("decimal(38,0)")
+    digits = F.regexp_extract(F.coalesce(period, F.lit("")), P.java(r"\d+"), 0)
+    number = F.translate(digits, *_DIGITS).try_cast("decimal(38,0)")
     return (
         F.when(digits == "", F.lit("Unknown"))
         .when(number <= 3, F.lit("Short-term (≤3 years)"))

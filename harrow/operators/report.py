@@ -99,13 +99,24 @@ FEED_FIELDS = {
 }
 
 
-def feed_quality(df, fields=FEED_FIELDS):
-    """Filled counts per feed over the fields the frame has."""
-    filled = [
-        F.count_if(~F.col(f).eqNullSafe(F.lit(blank))).alias(f"with_{f}")
-        for f, blank in fields.items()
-        if f in df.columns
-    ]
+def feed_quality(df, fields=FEED_FIELDS, by_source=None):
+    """Filled counts per feed over the fields the frame has.
+
+    by_source names the blank texts of feeds that mark a field in their own way:
+    source -> {field: blank}.
+    """
+    own = {}
+    for source, blanks in (by_source or {}).items():
+        for field, blank in blanks.items():
+            own.setdefault(field, []).append((source, blank))
+
+    def blank_of(field):
+        blank = F.lit(fields[field])
+        for source, text in own.get(field, ()):
+            blank = F.when(F.col("source").eqNullSafe(source), F.lit(text)).otherwise(blank)
+        return blank
+
+    filled = [F.count_if(~F.col(f).eqNullSafe(blank_of(f))).alias(f"with_{f}") for f in fields if f in df.columns]
     return df.groupBy("source").agg(F.count(F.lit(1)).alias("total"), *filled)
 
 

@@ -24,7 +24,7 @@ OUTPUT_NAMES = ("loans_cleaned", "scholarships_cleaned")
 LOAD_ORDER = ("_file", "_block", "_row")
 
 _SURPLUS = "_surplus"
-_HEADER_BYTES = 1 << 16
+_HEADER_BYTES = 1 << 16  # read first; more where the header is longer
 _PROBES = 32
 
 
@@ -68,21 +68,38 @@ def discover(spark, folder, rule, exclude_outputs=False):
 
 
 def _header(spark, path):
-    """Column names of one file, from its first bytes."""
+    """Column names of one file, from as many bytes as its first record has."""
     fs, p = _fs(spark, path)
-    stream = fs.open(p)
-    try:
-        size = min(fs.getFileStatus(p).getLen(), _HEADER_BYTES)
-        head = bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, size))
-    finally:
-        stream.close()
-    text = head.decode("utf-8", errors="ignore" if size == _HEADER_BYTES else "strict").removeprefix("\ufeff")
-    names = next(csv.reader(io.StringIO(text, newline="")), None)
+    length, size = fs.getFileStatus(p).getLen(), _HEADER_BYTES
+    text = None
+    while text is None:
+        text = _first_record(_head(spark, fs, p, min(size, length)), size >= length)
+        size *= 4
+    names = next(csv.reader(io.StringIO(text.removeprefix("\ufeff"), newline="")), None)
     if not names:
         raise ValueError("no header")
     return _unique(names)
 
 
+def _head(spark, fs, path, size):
+    stream = fs.open(path)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, size))
+    finally:
+        stream.close()
+
+
+def _first_record(head, whole):
+    """The text up to the first line end outside quotes, or None where more bytes are needed."""
+    text = head.decode("utf-8", errors="strict" if whole else "ignore")
+    at = text.find("\n")
+    while at >= 0 and text.count('"', 0, at) % 2:
+        at = text.find("\n", at + 1)
+    if at >= 0:
+        return text[:at + 1]
+    return text if whole else None
+
+
 def _unique(names):
     """Blank and repeated column names get a number."""
     seen, out = {}, []
@@ -112,37 +129,59 @@ def _read_same_header(spark, header, paths, multiline):
     )
 
 
-def read_feed_files(spark, paths, multiline=True, skip_ragged=True):
-    """Union of feed files with differing headers, all columns as text.
-
-    Files are read per header, as one reader call takes one header for all its
-    files. A file that cannot be opened or has no header is logged and left out,
-    and so is (``skip_ragged``) a file with a row that is longer than its header.
-    Returns None where nothing can be read.
-    """
+def _by_header(spark, paths):
+    """({header: paths}, [(path, reason)] of files without a readable header)."""
 
     def probe(path):
         try:
             return _header(spark, path)
         except Exception as error:  # any unreadable file must not stop the rest
             log.error("skipped %s: %s", path, error)
-            return None
+            return error
 
     with ThreadPoolExecutor(_PROBES) as pool:
         headers = list(pool.map(probe, paths))
-    groups = {}
+    groups, failed = {}, []
     for path, header in zip(paths, headers):
-        if header:
+        if isinstance(header, tuple):
             groups.setdefault(header, []).append(path)
+        else:
+            failed.append((path, str(header).split("\n")[0]))
+    return groups, failed
+
+
+def _ragged(frame):
+    return frame.where(F.col(_SURPLUS).isNotNull()).select("_file").distinct()
+
+
+def rejected_files(spark, paths, multiline=True):
+    """(file, reason) of every file that ``read_feed_files`` leaves out as a whole."""
+    groups, failed = _by_header(spark, paths)
+    found = spark.createDataFrame(failed, "file string, reason string")
+    for header, files in groups.items():
+        ragged = _ragged(_read_same_header(spark, header, files, multiline))
+        found = found.unionByName(ragged.select(F.col("_file").alias("file"), F.lit("row longer than header").alias("reason")))
+    return found
+
+
+def read_feed_files(spark, paths, multiline=True, skip_ragged=True):
+    """Union of feed files with differing headers, all columns as text.
+
+    Files are read per header, as one reader call takes one header for all its
+    files. A file that cannot be opened or has no header is logged and left out,
+    and so is (``skip_ragged``) a file with a row that is longer than its header;
+    ``rejected_files`` names both kinds.
+    Returns None where nothing can be read.
+    """
+
+    groups, _ = _by_header(spark, paths)
     if not groups:
         return None
     frames = []
     for header, files in groups.items():
         frame = _read_same_header(spark, header, files, multiline)
         if skip_ragged:
-            # at most one row per path of the list above, so it is safe to broadcast
-            ragged = frame.where(F.col(_SURPLUS).isNotNull()).select("_file").distinct()
-            frame = frame.join(F.broadcast(ragged), "_file", "left_anti")
+            frame = frame.join(_ragged(frame), "_file", "left_anti")
         frames.append(map_null_tokens(frame.drop(_SURPLUS), keep=LOAD_ORDER))
     return union_feeds(frames)
 

@@ -48,7 +48,7 @@ CASES = {
     "duration": (classify.duration_bucket, [
         ("3 years", "Short-term (≤3 years)"), ("7 years", "Medium-term (4-7 years)"),
         ("60 months", "Long-term (>7 years)"), ("N/A", "Unknown"), (None, "Unknown"),
-        ("9" * 60, "Long-term (>7 years)"),
+        ("9" * 60, "Long-term (>7 years)"), ("٥ years", "Medium-term (4-7 years)"), ("१२ months", "Long-term (>7 years)"),
     ]),
     "strip": (text.strip, [(" \t a b 　\x1f", "a b"), (None, None), ("   ", "")]),
     "collapse": (text.collapse_spaces, [("a \n b\x1cc", "a b c"), ("a b", "a b")]),

@@ -153,3 +153,10 @@ def test_clean_chain_plan(spark):
     """One shuffle, no Python."""
     plan = clean.clean_loans(_raw(spark), ["row_id"]).table()._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Python" not in plan and "Arrow" not in plan
+
+
+def test_feed_quality_by_source(spark):
+    rows = [("entries", "N/A"), ("entries", "text"), ("articles", ""), ("articles", "N/A"), (None, "")]
+    got = report.feed_quality(spark.createDataFrame(rows, "source string, description string"),
+                              by_source={"entries": {"description": "N/A"}})
+    assert {r.source: (r.total, r.with_description) for r in got.collect()} == {"entries": (2, 1), "articles": (2, 1), None: (1, 0)}

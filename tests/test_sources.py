@@ -220,3 +220,19 @@ def test_bank_rows_collapse_unless_asked(spark, fallback, names):
     raw = spark.createDataFrame(rows, "ord long, bank_name string, loan_product_name string, source string")
     raw = raw.withColumn("name", F.lit(None).cast("string"))
     assert clean.clean_loans(raw, ["ord"], alias_fallback=fallback).table().count() == names
+
+
+def test_long_header_and_rejected_files(spark, tmp_path):
+    names = ["name", "source", *[f'"column ""{i}""\n with a long name"' for i in range(4000)]]
+    folder = tmp_path / "wide"
+    folder.mkdir()
+    (folder / "wide_loan.csv").write_text(",".join(names) + "\nLoan,S" + ",x" * 4000 + "\n")
+    (folder / "good_loan.csv").write_text("name,source\nA,B\n")
+    (folder / "ragged_loan.csv").write_text("name,source\nA,B\nC,D,E\n")
+    (folder / "empty_loan.csv").write_text("")
+    paths = feeds.discover(spark, str(folder), feeds.LOAN_NAMES)
+    read = feeds.read_feed_files(spark, paths)
+    assert len(read.columns) == 4002 + len(feeds.LOAD_ORDER)
+    assert sorted(r.name for r in read.select("name").collect()) == ["A", "Loan"]
+    rejected = {r.file.rsplit("/", 1)[-1]: r.reason for r in feeds.rejected_files(spark, paths).collect()}
+    assert rejected == {"ragged_loan.csv": "row longer than header", "empty_loan.csv": "no header"}
