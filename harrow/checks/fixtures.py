@@ -4,8 +4,6 @@ The tables hold no amounts, dates or award texts, so each rule gets its inputs
 from a SELECT over whole tables. The same text runs on Spark and on DuckDB.
 """
 
-from harrow.session import spread
-
 RAW_LISTINGS = """
 SELECT o.o_orderkey AS row_id,
   'feed' || cast(o.o_custkey % 7 AS string) AS source,
@@ -92,7 +90,8 @@ FROM orders
 
 
 def table(spark, sf_dir, name):
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    """A given table, dealt out over the cores: each is one row group, which a scan cannot split."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet").repartition(spark.sparkContext.defaultParallelism)
 
 
 def derived(spark, sf_dir, select):

@@ -399,14 +399,14 @@ def _(spark, sf):
 
 _TWO_FEEDS = (
     "feeds AS (SELECT 0 AS feed, row_id, name, source, funding_amount, deadline, description FROM loaded"
-    " UNION ALL SELECT 1, row_id, name, source, NULL, NULL, NULL FROM loaded WHERE name IS NOT NULL)"
+    " UNION ALL SELECT 1, row_id, name, source, NULL, NULL, NULL FROM loaded)"
 )
 
 
 def _two_feeds(spark, sf):
     df = raw(spark, sf)
     full = df.select("row_id", "name", "source", "funding_amount", "deadline", "description")
-    return [full, df.where(F.col("name").isNotNull()).select("source", "row_id", "name")]
+    return [full, df.select("source", "row_id", "name")]
 
 
 @check("union_feeds", f"WITH {_LOADED}, {_TWO_FEEDS} SELECT * EXCLUDE (feed) FROM feeds")
@@ -605,7 +605,10 @@ def _report_sql(scored, breakdowns, fields):
     return f"WITH {scored} " + " UNION ALL ".join(parts)
 
 
-@check("report_loans", _report_sql(LOANS_SCORED, report.LOAN_BREAKDOWNS, report.LOAN_COMPLETENESS))
+LOANS_REPORT = _report_sql(LOANS_SCORED, report.LOAN_BREAKDOWNS, report.LOAN_COMPLETENESS)
+
+
+@check("report_loans", LOANS_REPORT)
 def _(spark, sf):
     return clean.clean_loans(raw(spark, sf), ORDER).report()
 

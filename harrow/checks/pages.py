@@ -68,6 +68,54 @@ def _(spark, sf):
     return pages.page_nodes(_parsed(spark, sf))
 
 
+def _tree(rows):
+    """SELECT of one row per node: id, parent, end, depth, tag, attributes, own text, text."""
+    return " UNION ALL ".join(
+        f"SELECT k AS page_id, {i} AS node_id, {parent} AS parent_id, {end} AS end_id, {depth} AS depth, '{tag}' AS tag,"
+        f" {attrs} AS attrs, {own} AS own_text, {whole} AS text FROM p"
+        for i, parent, end, depth, tag, attrs, own, whole in rows
+    )
+
+
+_AMOUNT_0 = "'Rs. ' || (k % 900 + 100) || ',000' || chr(10) || 'Deadline: 31/12/2025'"
+_WHOLE_0 = f"'Scheme ' || n || 'Helps students & families pay fees.' || {_AMOUNT_0} || 'Apply'"
+_WHOLE_3 = (
+    "'Research stay ' || n || 'Stay abroadStatus: PhD studentsSubject area: PhysicsApplication deadline: 30 June 2026"
+    "€ 1,200 for 24 months'"
+)
+_TREE_0 = (
+    (0, "NULL", 7, 0, "[document]", "''", "''", _WHOLE_0),
+    (1, 0, 7, 1, "html", "''", "''", _WHOLE_0),
+    (2, 1, 7, 2, "body", "''", "''", _WHOLE_0),
+    (3, 2, 7, 3, "div", "''", "''", _WHOLE_0),
+    (4, 3, 4, 4, "h3", "''", "'Scheme ' || n", "'Scheme ' || n"),
+    (5, 3, 5, 4, "p", "''", *["'Helps students & families pay fees.'"] * 2),
+    (6, 3, 6, 4, "div", "''", _AMOUNT_0 + " || chr(10)", _AMOUNT_0),
+    (7, 3, 7, 4, "a", "'href=/apply/' || n", "'Apply'", "'Apply'"),
+)
+_TREE_3 = (
+    (0, "NULL", 10, 0, "[document]", "''", "''", _WHOLE_3),
+    (1, 0, 10, 1, "html", "''", "''", _WHOLE_3),
+    (2, 1, 10, 2, "body", "''", "''", _WHOLE_3),
+    (3, 2, 10, 3, "div", "''", "''", _WHOLE_3),
+    (4, 3, 5, 4, "h3", "''", "''", "'Research stay ' || n"),
+    (5, 4, 5, 5, "a", "'href=?type=a&id=' || k", "'Research stay ' || n", "'Research stay ' || n"),
+    (6, 3, 6, 4, "p", "''", *["'Stay abroad'"] * 2),
+    (7, 3, 7, 4, "span", "''", *["'Status: PhD students'"] * 2),
+    (8, 3, 8, 4, "span", "''", *["'Subject area: Physics'"] * 2),
+    (9, 3, 9, 4, "span", "''", *["'Application deadline: 30 June 2026'"] * 2),
+    (10, 3, 10, 4, "span", "''", *["'€ 1,200 for 24 months'"] * 2),
+)
+
+
+@check("page_node_rows", _expected(f"{_tree(_TREE_0)} UNION ALL {_tree(_TREE_3)}"))
+def _(spark, sf):
+    """Every column of every node, over the two shapes whose trees differ most."""
+    nodes = pages.page_nodes(_shape(spark, sf, 0)).unionByName(pages.page_nodes(_shape(spark, sf, 3)))
+    pairs = F.transform(F.map_entries("attrs"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return nodes.withColumn("attrs", F.coalesce(F.array_join(pairs, " "), F.lit("")))
+
+
 @check(
     "find_all",
     "WITH t AS (SELECT page_id, unnest(regexp_extract_all(html, '<li><a[^>]*>([^<]*)</a></li>', 1)) AS text FROM pages)"
@@ -283,6 +331,27 @@ def _(spark, sf):
     return _records(harvest.harvest_articles(_shape(spark, sf, 2), _source(2)))
 
 
+_LISTING_PAGES = """
+SELECT o_orderkey AS page_id, 'https://list.example.org/' || cast(o_orderkey AS string) AS url,
+  '<article><h2>Award</h2><a href="https://feed2.example.org/p/' || cast(o_custkey AS string) || '">more</a></article>' AS html
+FROM orders
+"""
+
+
+@check(
+    "follow_links",
+    _expected(
+        "SELECT k AS page_id, 'Award ' || n AS name, '15 March 2026' AS deadline, 'feed 2' AS source,"
+        " 'https://feed2.example.org/p/' || k AS url FROM p WHERE k IN (SELECT n FROM p)",
+    ),
+)
+def _(spark, sf):
+    """Listing pages, the links on them, and the records of the pages behind these."""
+    links = harvest.article_links(pages.parse_pages(derived(spark, sf, _LISTING_PAGES)))
+    found = pages.parse_pages(harvest.follow_links(derived(spark, sf, shape_pages(2)), links))
+    return harvest.harvest_articles(found, _source(2)).select("page_id", "name", "deadline", "source", "url")
+
+
 def _entries(spark, sf):
     return harvest.harvest_entries(
         _shape(spark, sf, 3), _source(3), _BASE, contact="desk", country="there", languages="any"

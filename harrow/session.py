@@ -27,16 +27,6 @@ def local_session(cores="*", name="harrow", **conf):
     return builder.getOrCreate()
 
 
-def spread(scan):
-    """Deal a plain file scan out over the cores where it has fewer splits.
-
-    For small or few-row-group files ahead of CPU-heavy steps; a scan with
-    enough splits is left as it is, so large tables get no extra shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def stage_dir(spark):
     """Shared folder for staged tables, as the cluster names it.
 

@@ -118,7 +118,6 @@ def _read_same_header(spark, header, paths, multiline):
         .option("multiLine", multiline)
         .option("escape", '"')
         .option("encoding", "UTF-8")
-        .option("ignoreCorruptFiles", True)
     )
     return reader.csv(list(paths)).select(
         *[F.col(f"`{c}`") for c in header],

@@ -54,12 +54,14 @@ def write_merged(deduped, buffer, folder, stamp, name="all_scholarships"):
 
 def write_report(report, folder, name, stamp):
     """Report lines ``section | metric | value``, figures first, then counts
-    per value from the most frequent down."""
+    per value from the most frequent down. Counts are whole numbers, rates and
+    scores have two decimals."""
     rank = F.coalesce(F.array_position(F.array(*[F.lit(s) for s in SECTIONS]), F.col("section")), F.lit(0))
     ordered = report.select("*", F.when(rank > 0, rank).otherwise(len(SECTIONS) + 1).alias("rank")).orderBy(
         "rank", "section", F.desc("value"), "metric"
     )
-    value = F.format_string("%.2f", F.col("value"))
+    fraction = F.col("section").isin("score", "filled_percent") | (F.col("metric") == "removal_rate")
+    value = F.when(fraction, F.format_string("%.2f", "value")).otherwise(F.format_string("%.0f", "value"))
     path = f"{folder}/{name}_cleaning_report_{stamp}.txt"
     ordered.select(F.concat_ws(" | ", "section", "metric", value).alias("value")).write.mode("overwrite").text(path)
     return path
