@@ -6,7 +6,6 @@ from harrow.checks.fixtures import RAW_LISTINGS, derived, table
 from harrow.functions import classify, extract, score, text
 from harrow.operators import conform, dedup, expand, filters, preview, report, union
 from harrow.plans import clean, merge
-from harrow.schema import BANK, COMMON, LOAN_ORDER, NULL_TOKENS, SCHOLARSHIP_ORDER
 
 QUERIES, ORACLES = {}, {}
 
@@ -34,7 +33,27 @@ def raw(spark, sf):
 
 # --- SQL building blocks ----------------------------------------------------
 
-_TOKENS = ", ".join(f"'{t}'" for t in NULL_TOKENS)
+# --- fixed values: written out, so that a changed constant of the engine shows --
+_TOKENS = (
+    "'', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', '<NA>', 'N/A', 'NA',"
+    " 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null'"
+)
+_LOAN_ABSENT = (
+    "maximum_loan_amount", "minimum_loan_amount", "income_criteria", "application_url", "scrape_date", "url",
+    "bank_name", "loan_product_name", "documents_required", "special_benefits", "contact_info", "website_url",
+    "bank_code",
+)
+_LOAN_POSITIONS = (
+    "name", "description", "eligibility", "maximum_loan_amount", "minimum_loan_amount", "funding_amount", "interest_rate",
+    "repayment_period", "age_criteria", "income_criteria", "contact", "application_url", "source", "scrape_date",
+    "bank_code", "bank_name", "contact_info", "deadline", "documents_required", "loan_product_name", "row_id",
+    "special_benefits", "url", "website_url",
+)
+_SCHOLARSHIP_POSITIONS = (
+    "name", "description", "eligibility", "funding_amount", "deadline", "contact", "application_url", "source", "url",
+    "scrape_date",
+)
+# ----------------------------------------------------------------------------
 
 
 def _null_token(c):
@@ -262,7 +281,7 @@ def _(spark, sf):
 
 @check(
     "conform_loans",
-    f"WITH {_LOADED} SELECT *, {_na_columns([c for c in COMMON + BANK if c not in _CELLS])} FROM loaded",
+    f"WITH {_LOADED} SELECT *, {_na_columns(_LOAN_ABSENT)} FROM loaded",
 )
 def _(spark, sf):
     return conform.conform_loans(raw(spark, sf))
@@ -301,8 +320,7 @@ def _(spark, sf):
     return conform.conform_loans(df, alias_fallback=True).select("row_id", "name", "contact", "application_url")
 
 
-def _positions(order, rest):
-    names = [*order, *sorted(rest)]
+def _positions(names):
     return " UNION ALL ".join(
         f"SELECT {i} AS position, '{c}' AS column_name, count(*) AS n_rows FROM orders o JOIN customer c"
         " ON o.o_custkey = c.c_custkey"
@@ -317,15 +335,12 @@ def _column_positions(df):
     return counted.select("n_rows", F.inline(F.array(*cells)))
 
 
-_LOAN_REST = [c for c in COMMON + BANK if c not in LOAN_ORDER] + ["row_id"]
-
-
-@check("reorder_loans", _positions([c for c in LOAN_ORDER if c not in ("loan_type", "loan_duration_category", "data_quality_score")], _LOAN_REST))
+@check("reorder_loans", _positions(_LOAN_POSITIONS))
 def _(spark, sf):
     return _column_positions(conform.reorder_loans(conform.conform_loans(raw(spark, sf))))
 
 
-@check("reorder_scholarships", _positions([c for c in SCHOLARSHIP_ORDER if c not in ("scholarship_type", "eligible_region", "data_quality_score")], []))
+@check("reorder_scholarships", _positions(_SCHOLARSHIP_POSITIONS))
 def _(spark, sf):
     return _column_positions(conform.reorder_scholarships(conform.conform_scholarships(raw(spark, sf))))
 
@@ -558,11 +573,6 @@ _LOAN_KEPT_COLUMNS = (
     "row_id, source, name, description, eligibility, contact, funding_amount, repayment_period, interest_rate,"
     " age_criteria, deadline, data_quality_score, loan_type, loan_duration_category"
 )
-_LOAN_ABSENT = [
-    "maximum_loan_amount", "minimum_loan_amount", "income_criteria", "application_url", "scrape_date", "url",
-    "bank_name", "loan_product_name", "documents_required", "special_benefits", "contact_info", "website_url",
-    "bank_code",
-]
 
 
 @check("clean_loans", f"WITH {LOANS_SCORED} SELECT {_LOAN_KEPT_COLUMNS}, {_na_columns(_LOAN_ABSENT)} FROM final")
