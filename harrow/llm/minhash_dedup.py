@@ -27,9 +27,11 @@ def near_duplicates(docs, percent=PERCENT, k=SHINGLE, bands=BANDS, rows=ROWS, bl
     signature; they are checked on full sets in blocks of bounded size.
     """
     docs = docs.select("doc_id", "text")
-    signed = docs.mapInPandas(
-        tasks.signer(k, bands, rows), "doc_id long, fp binary, n_shingles long, bands array<long>")
-    signed = written(signed, "signed")
+    # a null id would turn the ids of its batch into floats
+    named = docs.select(F.coalesce("doc_id", F.lit(0)).cast("long").alias("doc_id"), F.col("doc_id").isNull().alias("missing"), "text")
+    signed = named.mapInPandas(
+        tasks.signer(k, bands, rows), "doc_id long, missing boolean, fp binary, n_shingles long, bands array<long>")
+    signed = written(signed.withColumn("doc_id", F.when(~F.col("missing"), F.col("doc_id"))).drop("missing"), "signed")
     texts = signed.where("n_shingles > 0 and doc_id is not null")
     # any row of an equal text stands for it; bands follow from fp
     firsts = texts.groupBy("fp").agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("n_shingles"))
@@ -54,7 +56,9 @@ def _classes(signed, firsts, groups):
     named = firsts.join(groups, firsts["id"] == groups["node"], "left")
     named = named.select("fp", F.coalesce("component", "id").alias("component"))
     named = written(named, "classes")
-    found = signed.join(named, "fp", "left")
+    # texts without words have no fp: they spread by their ids, under keys longer than any fp
+    own = F.concat(F.lit("no words in text "), F.col("doc_id").cast("string")).cast("binary")
+    found = signed.withColumn("fp", F.coalesce("fp", own)).join(named, "fp", "left")
     component = F.when(F.col("doc_id").isNull(), None).otherwise(F.coalesce("component", "doc_id"))
     found = found.select("doc_id", "n_shingles", component.cast("long").alias("component_id"))
     return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

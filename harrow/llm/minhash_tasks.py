@@ -7,8 +7,6 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 
-from harrow.llm.union_find import Forest
-
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _CHUNK = 1 << 15
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -93,7 +91,7 @@ def _offer(elements, owners, best, m):
 
 
 def signer(k, bands, rows):
-    """mapInPandas step: (id, text) -> (id, fp, n, bands): word sequence, set size and a hash of each band."""
+    """mapInPandas step: (doc_id, missing, text) -> the first two, word sequence, set size and a hash of each band."""
     m = bands * rows
 
     def run(batches):
@@ -109,6 +107,7 @@ def signer(k, bands, rows):
                     keys = _mixed(keys * np.uint64(0x9E3779B97F4A7C15) + best[:, :, i])
                 yield pd.DataFrame({
                     "doc_id": part["doc_id"],
+                    "missing": part["missing"],
                     "fp": [hashlib.blake2b(b" ".join(w), digest_size=16).digest() if w else None for w in words],
                     "n_shingles": [len(s) for s in sets],
                     "bands": [list(x) if len(s) else [] for x, s in zip(keys.view(np.int64), sets, strict=True)],
@@ -120,30 +119,29 @@ def signer(k, bands, rows):
 def verifier(k, percent, slots, doubt):
     """mapInPandas step over rows (block, id, text) in order of block -> links (a, b) that span its linked rows.
 
-    In a block, likely pairs come first (by estimated similarity); a pair
-    already connected needs no check, every other one is checked on the full
-    sets. Pairs whose estimate is under the threshold by more than doubt are no
-    candidates.
+    Each row meets the rows before it, likely ones first (by estimated
+    similarity), as long as they are not connected with it; such a pair is
+    checked on the full sets. Pairs whose estimate is under the threshold by
+    more than doubt are no candidates. No list of pairs is kept, so memory grows
+    with the rows of a block alone.
     """
 
     def links(ids, sets):
-        n = len(ids)
-        forest, found = Forest(n), []
+        found, group = [], np.arange(len(ids))
         sizes = np.array([len(s) for s in sets])
         marks = superminhash(sets, slots).astype(np.uint32)
         need = percent / 100 - doubt
-        likely = []
-        for i in range(n - 1):
-            near = (marks[i + 1:] == marks[i]).mean(axis=1)
-            later = sizes[i + 1:]
-            fits = (near >= need) & (100 * np.minimum(later, sizes[i]) >= percent * np.maximum(later, sizes[i]))
-            likely += [(near[j], i, i + 1 + int(j)) for j in np.flatnonzero(fits)]
-        likely.sort(key=lambda x: (-x[0], x[1], x[2]))
-        for _, i, j in likely:
-            if forest.root(i) != forest.root(j):
+        for i in range(1, len(ids)):
+            near = (marks[:i] == marks[i]).mean(axis=1)
+            fits = (near >= need) & (100 * np.minimum(sizes[:i], sizes[i]) >= percent * np.maximum(sizes[:i], sizes[i]))
+            left = np.flatnonzero(fits)
+            left = left[np.argsort(-near[left], kind="stable")]
+            while len(left):
+                j, left = left[0], left[1:]
                 both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
                 if 100 * both >= percent * (sizes[i] + sizes[j] - both):
-                    forest.join(i, j)
+                    group[group == group[j]] = group[i]
+                    left = left[group[left] != group[i]]
                     found.append((ids[i], ids[j]))
         return found
 
