@@ -52,7 +52,9 @@ def near_vectors(vectors, cosine=COSINE, missed=MISSED, bits=None, chunk=CHUNK,
     named = same.join(links, "id", "left").join(groups, F.col("id") == F.col("node"), "left")
     named = named.select("embedding", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
                          F.coalesce("component", "id").alias("component"))
-    out = rows.join(written(named, "classes"), "embedding", "left")
+    # vectors that link with nothing stay out of the join, where they would all be one key
+    out = rows.where(part.isNotNull()).join(written(named, "classes"), "embedding", "left")
+    out = out.unionByName(rows.where(part.isNull()), allowMissingColumns=True)
     component = F.coalesce("component", "vec_id").alias("component_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component).withColumn(
         "kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
