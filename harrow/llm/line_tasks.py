@@ -11,9 +11,12 @@ from harrow.llm.union_find import Forest
 def within(a, b, limit):
     """True if the edit distance of a and b is at most limit.
 
-    Bit-parallel columns over the band of 2 * limit + 1 diagonals: vertical and
+    What both share at their start and at their end is left out first. Then come
+    bit-parallel columns over the band of 2 * limit + 1 diagonals: vertical and
     horizontal differences are bits of one machine word, and the distance is
-    followed along the lowest diagonal, then along the last row.
+    followed along the lowest diagonal, then along the last row. The rows of a
+    character are kept for the band alone, so a very long line costs no more
+    than its length.
     """
     if len(a) < len(b):
         a, b = b, a
@@ -21,14 +24,32 @@ def within(a, b, limit):
         return False
     if limit == 0 or a == b:
         return a == b
+    start, most = 0, len(b)
+    while start < most:
+        middle = (start + most + 1) // 2
+        start, most = (middle, most) if a[start:middle] == b[start:middle] else (start, middle - 1)
+    a, b = a[start:], b[start:]
+    end, most = 0, len(b)
+    while end < most:
+        middle = (end + most + 1) // 2
+        same = a[len(a) - middle:len(a) - end] == b[len(b) - middle:len(b) - end]
+        end, most = (middle, most) if same else (end, middle - 1)
+    a, b = a[:len(a) - end], b[:len(b) - end]
     rows, ones = len(a), (1 << (2 * limit + 1)) - 1
-    places = {}
-    for i, c in enumerate(a):
-        places[c] = places.get(c, 0) | (1 << (i + limit))
+    places = {}  # character -> (column, its rows in the band of that column)
+
+    def rows_of(c, j):
+        column, bits = places.get(c, (j, 0))
+        return bits >> (j - column)
+
+    for i, c in enumerate(a[:limit]):
+        places[c] = 0, rows_of(c, 0) | 1 << (i + limit)
     up, down = (ones << limit) & ones, 0  # vertical differences of +1 and -1
     distance, low = limit, 1 << (2 * limit)
     for j, c in enumerate(b):
-        match = (places.get(c, 0) >> j) & ones
+        if j + limit < rows:
+            places[a[j + limit]] = j, rows_of(a[j + limit], j) | low
+        match = rows_of(c, j)
         diagonal = ((((match & up) + up) ^ up) | match | down) & ones  # cells equal to their upper left neighbour
         right = (down | ~(diagonal | up)) & ones
         left = diagonal & up

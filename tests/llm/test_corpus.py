@@ -51,6 +51,8 @@ def test_within_by_force():
             b[chance.randint(0, len(b)):chance.randint(0, len(b))] = chance.choices("abc", k=chance.randint(0, 1))
         for limit in (0, 1, 2, 3):
             assert within(a, "".join(b), limit) == (distance(a, b) <= limit), (a, b, limit)
+    long = "xy" * 500_000  # time and memory stay linear
+    assert within("q" + long, long + "q", 2) and not within("q" + long, long + "q", 1)
 
 
 def test_components(spark):
@@ -133,9 +135,10 @@ def test_near_by_force(spark):
         got = {r.doc_id: r for r in minhash_dedup.near_duplicates(frame, block=block).collect()}
         assert {i: r.component_id for i, r in got.items()} == want
         assert all(r.n_shingles == len(sets[i]) and r.kept == (want[i] == i) for i, r in got.items())
-    odd = spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f")], frame.select("doc_id", "text").schema)
+    odd = spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"),
+                                 (2**60 + 1, "x y"), (2**60 + 2, None)], frame.select("doc_id", "text").schema)
     got = sorted((r.doc_id or -1, r.component_id or -1, r.kept) for r in minhash_dedup.near_duplicates(odd).collect())
-    assert got == [(-1, -1, True), (-1, -1, True), (1, 1, True), (1, 1, True)]
+    assert got == [(-1, -1, True), (-1, -1, True), (1, 1, True), (1, 1, True), *[(2**60 + i, 2**60 + i, True) for i in (1, 2)]]
     assert minhash_dedup.near_duplicates(frame.limit(0)).count() == 0
 
 
