@@ -1,24 +1,28 @@
 """Keep-first deduplication."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 
 def keep_first(df, keys, order, copies=None):
     """First row per key in the given order; NULL keys equal each other.
 
-    One ``min_by`` over the packed row: each task first reduces its rows to one
-    per key, so a key that holds a third of the table sends one row per task
-    through the shuffle. ``order`` must be unique per row for a stable result.
-    ``copies`` names an extra column with the number of rows behind each kept one.
+    Each task first reduces its rows to one per key, so a key that holds a third
+    of the table sends one row per task through the shuffle. ``order`` must be
+    unique per row for a stable result. ``copies`` names an extra column with
+    the number of rows behind each kept one; with it the first row is a
+    ``min_by`` in the same aggregation as the count, without it the ranking's
+    group limit, which does not pack the row.
     """
+    if not copies:
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        return df.withColumn("_place", place).where(F.col("_place") == 1).select(*df.columns)
     rest = [c for c in df.columns if c not in keys]
     position = F.struct(*order) if len(order) > 1 else F.col(order[0])
-    aggregates = [F.min_by(F.struct(*rest), position).alias("_first")]
-    if copies:
-        aggregates.append(F.count(F.lit(1)).alias(copies))
-    kept = df.groupBy(*keys).agg(*aggregates)
+    first = F.min_by(F.struct(*rest), position).alias("_first")
+    kept = df.groupBy(*keys).agg(first, F.count(F.lit(1)).alias(copies))
     columns = [F.col(c) if c in keys else F.col("_first")[c].alias(c) for c in df.columns]
-    return kept.select(*columns, *([copies] if copies else []))
+    return kept.select(*columns, copies)
 
 
 def keep_first_by_name(df, order, copies=None):

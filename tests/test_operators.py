@@ -52,10 +52,14 @@ def test_copies_count_all_rows(spark):
 
 
 def test_hot_key_is_reduced_before_the_shuffle(spark):
-    plan = dedup.keep_first_by_name(_listings(spark, _skewed_rows()), ["row_id"])._jdf.queryExecution().toString()
-    physical = plan.split("== Physical Plan ==")[1]
-    assert physical.count("Exchange hashpartitioning") == 1
-    assert physical.index("partial_min_by") > physical.index("Exchange hashpartitioning")
+    df = _listings(spark, _skewed_rows())
+    for copies, reduced in (("n", "partial_min_by"), (None, "WindowGroupLimit [name")):
+        plan = dedup.keep_first_by_name(df, ["row_id"], copies)._jdf.queryExecution().toString()
+        physical = plan.split("== Physical Plan ==")[1]
+        exchange = physical.index("Exchange hashpartitioning")
+        assert physical.count("Exchange hashpartitioning") == 1
+        assert physical.index(reduced, exchange) > exchange  # plans print from the result down
+    assert "Partial" in physical[exchange:]
 
 
 def test_conform(spark):
