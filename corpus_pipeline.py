@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from harrow.llm import bpe, line_dedup, minhash_dedup, quality_rules, source_mix
 from harrow.llm.store import documents, small_batches, written
 
+NEAR_PERCENT = 80  # similarity of word shingles from which documents are near duplicates
+
 
 def quality(spark, docs, sf_dir):
     """Documents that pass the base rules and the limits on repeated passages."""
@@ -32,7 +34,7 @@ def lines(spark, docs, sf_dir):
 def near_duplicates(spark, docs, sf_dir):
     """One document, the first, of each group of near duplicates."""
     small_batches(spark)
-    found = minhash_dedup.near_duplicates(docs)
+    found = minhash_dedup.near_duplicates(docs, NEAR_PERCENT)
     gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 

@@ -1,5 +1,7 @@
 """MinHash near-dedup: SuperMinHash signatures, banding, exact verification, union-find grouping."""
 
+import math
+
 from pyspark.sql import functions as F
 
 from harrow.llm import minhash_tasks as tasks
@@ -8,15 +10,29 @@ from harrow.llm.store import documents, maybe_broadcast, small_batches, written
 
 SHINGLE = 5
 PERCENT = 85
-BANDS, ROWS = 21, 6  # a pair at 0.85 is missed about 5 times in 100,000, one at 0.9 practically never
+SLOTS, MISSED = 128, 5e-5  # ranks of a signature at most; share of the pairs at the threshold that may be missed
 BLOCK = 1_000_000  # shingles that one block holds at most, but for a longer text
 
 
-def near_duplicates(docs, percent=PERCENT, k=SHINGLE, bands=BANDS, rows=ROWS, block=BLOCK):
+def banding(percent):
+    """(bands, rows) that miss a pair at percent / 100 MISSED times at most; the longest bands that SLOTS ranks allow.
+
+    Beyond 128 ranks the bands are as short as they can be, and as many as it takes.
+    """
+    for rows in range(16, 0, -1):
+        same = (percent / 100) ** rows
+        bands = 1 if same >= 1 else math.ceil(math.log(MISSED) / math.log1p(-same))
+        if bands * rows <= SLOTS:
+            break
+    return bands, rows
+
+
+def near_duplicates(docs, percent=PERCENT, k=SHINGLE, bands=None, rows=None, block=BLOCK):
     """(doc_id, n_shingles, component_id, kept) for each row of docs (doc_id long, text string).
 
     Documents link if their sets of k-word shingles have a Jaccard similarity of
-    percent / 100 or more. component_id is the smallest doc_id reachable by
+    percent / 100 or more; bands and rows follow from percent unless both are
+    given. component_id is the smallest doc_id reachable by
     links, and kept says that it is the row's own. A null or empty text and one
     of white space have an empty set and link with nothing. Rows that share a
     doc_id count as one document. A null doc_id links with nothing and is kept
@@ -26,6 +42,8 @@ def near_duplicates(docs, percent=PERCENT, k=SHINGLE, bands=BANDS, rows=ROWS, bl
     copies costs no more than one text. Candidates share a band of the
     signature; they are checked on full sets in blocks of bounded size.
     """
+    if bands is None or rows is None:
+        bands, rows = banding(percent)
     docs = docs.select("doc_id", "text")
     # a null id would turn the ids of its batch into floats
     named = docs.select(F.coalesce("doc_id", F.lit(0)).cast("long").alias("doc_id"), F.col("doc_id").isNull().alias("missing"), "text")
@@ -66,7 +84,7 @@ def _classes(signed, firsts, groups):
 
 def op4_minhash_dedup(spark, sf_dir):
     small_batches(spark)
-    return near_duplicates(documents(spark, sf_dir))
+    return near_duplicates(documents(spark, sf_dir), PERCENT)
 
 
 SQL = """

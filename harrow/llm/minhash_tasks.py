@@ -67,7 +67,7 @@ def superminhash(sets, m):
 
 
 def _offer(elements, owners, best, m):
-    order = np.tile(np.arange(m, dtype=np.uint8), (len(elements), 1))
+    order = np.tile(np.arange(m, dtype=np.uint8 if m <= 256 else np.uint16), (len(elements), 1))
     first = owners[0]
     slots = best[first:owners[-1] + 1].reshape(-1)
     base = (owners - first) * m
