@@ -7,7 +7,8 @@ import sys
 from pyspark import cloudpickle
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+# a whole attribute: its name, and its quoted or bare value, if any
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=][^\s\"'<>/=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"'][^\s>]*)))?")
 _NAME = re.compile(r"[a-z0-9]+")
 # Elements whose content is no text of the page; the content of the first five is not markup either.
 _RAW = ("script", "style", "textarea", "title", "noscript")
@@ -43,13 +44,15 @@ class _Element:
         self.tag, self.parent = tag, parent
         names, hidden = set(), False
         for key, a, b, c in _ATTRIBUTE.findall(attributes):
-            key, value = key.lower(), (a or b or c).lower()
+            key, value = key.lower(), html.unescape(a or b or c).lower()
             if key in ("class", "id", "role"):
                 names.update(_NAME.findall(value))
             elif key == "style":
                 hidden |= "display:none" in value.replace(" ", "")
-            else:
-                hidden |= key == "hidden" or value == "true"
+            elif key == "hidden":
+                hidden = True
+            elif key == "aria-hidden":
+                hidden |= value == "true"
         self.dropped = parent is not None and parent.dropped or tag in _DROPPED or hidden
         self.heading = parent is not None and parent.heading or bool(re.fullmatch("h[1-6]", tag))
         self.evidence = parent.evidence if parent is not None else 0

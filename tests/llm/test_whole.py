@@ -2,8 +2,11 @@
 
 import random
 
+import pytest
+
 import corpus_pipeline
 from harrow.llm import minhash_dedup
+from harrow.llm.html_tasks import main_text
 from tests.llm import test_corpus
 from tests.llm.test_corpus import WORDS, classes, near_docs, shingles
 
@@ -39,3 +42,17 @@ def test_bands_follow_from_the_threshold():
     for percent in range(4, 100):
         bands, rows = minhash_dedup.banding(percent)
         assert (1 - (percent / 100) ** rows) ** bands <= minhash_dedup.MISSED and bands * rows <= 256
+
+
+@pytest.mark.parametrize("tag", [
+    'p title="Hidden gems"', 'p data-hidden="false"', "p data-role=navigation", 'p data-id="sidebar"', "p title='class=ad id=menu'",
+    'p aria-hidden="false"', 'p data-style="display:none"', 'p title="a > b" lang=en', 'a href="/the-hidden-cost"',
+    "a href=/x?class=ad&hidden"])
+def test_only_whole_attributes_count(tag):
+    assert main_text(f"<article><p>Before.</p><{tag}>The words stay.</{tag[0]}><p>After.</p></article>").split("\n")[1] == "The words stay."
+
+
+@pytest.mark.parametrize("tag", [
+    "p hidden", "p HIDDEN=''", "p title=x hidden", "p aria-hidden=true", 'p style="color:red; display: none"', "p hidden title='a'", "p id='a'hidden"])
+def test_hidden_elements_go(tag):
+    assert main_text(f"<article><p>Before.</p><{tag}>Not shown.</p><p>After.</p></article>") == "Before.\nAfter."
