@@ -33,20 +33,46 @@ _BAD_NAMES = {
     "recommended", "breadcrumb", "breadcrumbs", "pagination", "pager", "widget", "toolbar", "copyright", "search",
     "skip", "contentinfo", "complementary", "dialog"}
 _GOOD_NAMES = {"article", "content", "post", "entry", "story", "main", "body", "text", "page"}
-_SURE, _LIKELY = 1000, 12  # capacities of strong and of weak evidence
+_MODIFIERS = {"has", "with", "no", "not", "without", "is", "hide", "show"}  # what follows is no name of the element itself
+_SURE, _LIKELY = 1000, 12  # capacities of what an element says, and of content names
+_NAMED, _HINT, _LINE = -20, -4, -2  # evidence of a bad name, of one bad word among others, of a content's own header
 _NEXT, _SIBLING = 4, 2  # capacities between neighbours in the page, and more if they share a parent
 
 
+def _named(tag, values):
+    """Evidence of a tag's class, id and role: _SURE, _LIKELY, _HINT, _NAMED, _LINE (a header, if content is around it) or 0.
+
+    A name is what stands between blanks. One with bad words alone is bad; one
+    with bad and other words, or next to a good name, is a hint. Names that
+    start with a modifier (has-sidebar), and ids of headings, which are made
+    from their texts, say nothing.
+    """
+    names = []
+    for key, value in values:
+        if key != "id" or not re.fullmatch("h[1-6]", tag):
+            names += [w for x in value.split() if (w := _NAME.findall(x)) and w[0] not in _MODIFIERS]
+    bad = [w for w in names if not _BAD_NAMES.isdisjoint(w)]
+    good = [w for w in names if not _GOOD_NAMES.isdisjoint(w) and _BAD_NAMES.isdisjoint(w)]
+    if bad and not any({"article", "main"} & set(w) for w in good):
+        if all(_BAD_NAMES & set(w) == {"header"} for w in bad):
+            owned = any({"article", "post", "entry", "story"} & set(w) for w in bad)
+            return _LINE, owned
+        return _NAMED if not good and any(_BAD_NAMES.issuperset(w) for w in bad) else _HINT, False
+    if any({"article", "main"} & set(w) for w in good):
+        return _SURE, False
+    return _LIKELY if good else 0, False
+
+
 class _Element:
-    __slots__ = ("tag", "parent", "evidence", "dropped", "heading")
+    __slots__ = ("tag", "parent", "evidence", "dropped", "heading", "within")
 
     def __init__(self, tag, attributes, parent):
         self.tag, self.parent = tag, parent
-        names, hidden = set(), False
+        values, hidden = [], False
         for key, a, b, c in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), html.unescape(a or b or c).lower()
             if key in ("class", "id", "role"):
-                names.update(_NAME.findall(value))
+                values.append((key, value))
             elif key == "style":
                 hidden |= "display:none" in value.replace(" ", "")
             elif key == "hidden":
@@ -55,16 +81,25 @@ class _Element:
                 hidden |= value == "true"
         self.dropped = parent is not None and parent.dropped or tag in _DROPPED or hidden
         self.heading = parent is not None and parent.heading or bool(re.fullmatch("h[1-6]", tag))
-        self.evidence = parent.evidence if parent is not None else 0
+        self.evidence = around = parent.evidence if parent is not None else 0
+        self.within = parent is not None and parent.within
         if tag in ("html", "body"):
             return
-        if tag in _BAD_TAGS or names & _BAD_NAMES and not names & {"article", "main"}:
+        named, owned = _named(tag, values) if values else (0, False)
+        if tag in _BAD_TAGS:
             # the header of an article holds its headings; its other lines are no text of it
-            self.evidence = -2 if tag == "header" and self.evidence > 0 else -_SURE
-        elif tag in _GOOD_TAGS or names & {"article", "main"}:
-            self.evidence = _SURE
-        elif names & _GOOD_NAMES and self.evidence == 0:
-            self.evidence = _LIKELY
+            self.evidence = _LINE if tag == "header" and around > 0 else -_SURE
+        elif named == _LINE:
+            self.evidence = _LINE if around > 0 or owned and around > _NAMED else min(around, _NAMED)
+        elif named == _NAMED:
+            self.evidence = min(around, _NAMED)
+        elif named == _HINT:
+            self.evidence = min(around, _HINT)
+        elif tag in _GOOD_TAGS or named == _SURE:
+            self.evidence, self.within = _SURE, True
+        elif named == _LIKELY and around in (0, _HINT):
+            # a content container undoes a hint around it
+            self.evidence = _SURE if self.within else _LIKELY
 
 
 def blocks(page):
@@ -163,19 +198,23 @@ def _inline_path(element):
 
 
 def costs(found):
-    """For each block how much more it costs to call it boilerplate than to call it content; may be negative."""
+    """For each block how much more it costs to call it boilerplate than to call it content; may be negative.
+
+    What an element says by itself (article, nav) is decisive. A bad name has a
+    finite cost, and one bad word among others only adds to what the text says.
+    """
     inside = any(evidence >= _SURE for _, _, evidence, _, _ in found)
     out = []
     for text, owner, evidence, heading, linked in found:
         words = text.count(" ") + 1
-        if abs(evidence) >= _SURE:
+        if abs(evidence) >= _SURE or evidence == _NAMED:
             cost = evidence
-        elif evidence == -2:
+        elif evidence == _LINE:
             cost = _LIKELY if heading else -_LIKELY
         else:
             cost = evidence + min(words, 60) // 3 - 3 + 3 * (text[-1] in ".!?…") + 4 * heading
             cost -= 12 * (2 * linked > len(text)) + 4 * (owner.tag in ("li", "td", "th") and words < 6)
-            cost -= 30 * inside  # outside the article that the page names
+            cost += _LIKELY if owner.within else -30 * inside  # inside, or outside the article that the page names
         out.append(cost)
     return out
 

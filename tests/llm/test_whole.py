@@ -56,3 +56,38 @@ def test_only_whole_attributes_count(tag):
     "p hidden", "p HIDDEN=''", "p title=x hidden", "p aria-hidden=true", 'p style="color:red; display: none"', "p hidden title='a'", "p id='a'hidden"])
 def test_hidden_elements_go(tag):
     assert main_text(f"<article><p>Before.</p><{tag}>Not shown.</p><p>After.</p></article>") == "Before.\nAfter."
+
+
+ONE = "A first sentence of the text with more than a few words in it, so that it is one to read."
+TWO = "And a second one that goes on about the same thing for as long as the first one did, or longer."
+
+
+@pytest.mark.parametrize("page", [
+    f'<div class="page has-sidebar"><div class="content"><p>{ONE}<p>{TWO}</div></div>',
+    f'<div class="layout no-ads"><p>{ONE}<p>{TWO}</div>',
+    f'<div class="page sidebar"><div class="content"><p>{ONE}<p>{TWO}</div></div>',
+    f'<div class="sidebar-layout"><div id="content"><p>{ONE}<p>{TWO}</div></div>',
+    f'<div id="search-results-page"><p>{ONE}<p>{TWO}</div>'])
+def test_one_word_of_a_name_does_not_decide(page):
+    assert main_text(page) == f"{ONE}\n{TWO}"
+
+
+@pytest.mark.parametrize("heading", [
+    '<h2 id="search-and-share">How to look</h2>', '<h2 id="comments">How to look</h2>', '<div class="post-header"><h1>How to look</h1></div>',
+    '<div class="header"><h1>How to look</h1></div>', '<h2 class="widget-title">How to look</h2>'])
+def test_headings_of_an_article_stay(heading):
+    assert main_text(f"<article>{heading}<p>{ONE}<p>{TWO}</article>") == f"How to look\n{ONE}\n{TWO}"
+
+
+def test_header_of_a_post_without_article():
+    assert main_text(f'<div><div class="post-header"><h1>How to look</h1></div><p>{ONE}<p>{TWO}</div>') == f"How to look\n{ONE}\n{TWO}"
+
+
+@pytest.mark.parametrize("name", [
+    'class="sidebar"', 'id="cookie-notice"', 'class="box ad"', 'role="navigation"', 'class="comments has-replies"', 'class="social-share"',
+    'class="sidebar"><div class="content"', 'class="header"'])
+def test_bad_names_still_go(name):
+    end = "</div></div>" if "><" in name else "</div>"
+    assert main_text(f"<div><p>{ONE}<p>{TWO}<div {name}><p>{TWO}{end}</div>") == f"{ONE}\n{TWO}"
+    inside = f"<article><p>{ONE}<div {name}>Buy now{end}<p>{TWO}</article>"
+    assert main_text(inside) == f"{ONE}\n{TWO}"
