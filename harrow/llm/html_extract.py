@@ -11,8 +11,8 @@ def extract(pages, text="text", n_chars="n_chars"):
 
     Text is cut into blocks at block-level tags. A classifier's costs (open
     elements and their names, links, length, headings) tie each block to content
-    or boilerplate, neighbours and siblings are tied to each other, and the
-    minimum cut labels them. Content blocks stand in page order, one to a line,
+    or boilerplate, neighbours and siblings, also those with other blocks between
+    them, are tied to each other, and the minimum cut labels them. Content blocks stand in page order, one to a line,
     character references decoded and white space turned into single spaces.
     Unclosed and cut-off markup is read as far as it goes. A null, empty or
     textless page gives an empty text. Every row gets its own result. Columns

@@ -37,6 +37,7 @@ _MODIFIERS = {"has", "with", "no", "not", "without", "is", "hide", "show"}  # wh
 _SURE, _LIKELY = 1000, 12  # capacities of what an element says, and of content names
 _NAMED, _HINT, _LINE = -20, -4, -2  # evidence of a bad name, of one bad word among others, of a content's own header
 _NEXT, _SIBLING = 4, 2  # capacities between neighbours in the page, and more if they share a parent
+_KIN = 6  # between siblings with other blocks between them
 
 
 def _named(tag, values):
@@ -220,12 +221,24 @@ def costs(found):
 
 
 def edges(found):
-    """(i, j, capacity) between blocks that follow each other, closer for one parent or one grandparent."""
-    out = []
-    for i in range(len(found) - 1):
-        a, b = found[i][1], found[i + 1][1]
-        near = a is b or a.parent is b.parent
-        out.append((i, i + 1, _NEXT + _SIBLING * near))
+    """(i, j, capacity) between blocks that follow each other, closer for one parent, and between siblings further apart.
+
+    A block is tied to the last one before it of the same parent, and to the
+    last one there of its own kind (tag and evidence), wherever it stands. So
+    there are three edges a block at most.
+    """
+    out, last = [], {}
+    for i, (_, owner, evidence, _, _) in enumerate(found):
+        parent = id(owner.parent)
+        kin = set()
+        for key in (parent, (parent, owner.tag, evidence)):
+            kin.add(last.get(key, i))
+            last[key] = i
+        out += [(j, i, _KIN) for j in sorted(kin) if j < i - 1]
+        if i:
+            before = found[i - 1][1]
+            near = owner is before or owner.parent is before.parent
+            out.append((i - 1, i, _NEXT + _SIBLING * near))
     return out
 
 

@@ -6,7 +6,7 @@ import pytest
 
 import corpus_pipeline
 from harrow.llm import minhash_dedup
-from harrow.llm.html_tasks import main_text
+from harrow.llm.html_tasks import blocks, cut, edges, main_text
 from tests.llm import test_corpus
 from tests.llm.test_corpus import WORDS, classes, near_docs, shingles
 
@@ -91,3 +91,28 @@ def test_bad_names_still_go(name):
     assert main_text(f"<div><p>{ONE}<p>{TWO}<div {name}><p>{TWO}{end}</div>") == f"{ONE}\n{TWO}"
     inside = f"<article><p>{ONE}<div {name}>Buy now{end}<p>{TWO}</article>"
     assert main_text(inside) == f"{ONE}\n{TWO}"
+
+
+def test_siblings_hold_a_paragraph_between_adverts():
+    advert = '<div class="ad"><a href=x>Buy now</a></div>'
+    page = f"<div><p>{ONE}<p>{TWO}{advert}<p>{ONE}</p>{advert}<p>{TWO}<p>{ONE}</div>"
+    assert main_text(page) == "\n".join([ONE, TWO, ONE, TWO, ONE])
+    nested = page.replace(advert, f"<div>{advert * 3}</div>")
+    assert main_text(nested) == main_text(page)
+    page = "<div>" + f"<p>{ONE}</p>{advert}" * 500 + "</div>"
+    assert len(edges(blocks(page))) <= 3 * len(blocks(page))
+    assert (0, 2, 6) in edges(blocks(page))
+
+
+def test_cut_is_minimal_on_edges_of_siblings():
+    chance = random.Random(7)
+    for _ in range(150):
+        n = chance.randint(1, 9)
+        cost = [chance.randint(-12, 12) for _ in range(n)]
+        links = [(i, j, chance.randint(1, 6)) for j in range(n) for i in {j - 1, chance.randrange(n)} if 0 <= i < j]
+
+        def price(side):
+            against = sum(abs(c) for c, s in zip(cost, side, strict=True) if s != (c > 0))
+            return against + sum(w for i, j, w in links if side[i] != side[j])
+
+        assert price(cut(cost, links)) == min(price([bool(m >> i & 1) for i in range(n)]) for m in range(1 << n))
