@@ -22,7 +22,7 @@ def quality(spark, docs, sf_dir):
 
 def lines(spark, docs, sf_dir):
     """Documents less their repeated lines; one whose lines with words have all gone, goes."""
-    done = line_dedup.dedup_lines(docs, report="_lines")
+    done = line_dedup.dedup_lines(docs, report="_lines", equal_chars=1)
     left = (F.col("_lines.n_removed") == 0) | F.regexp_like("text", F.lit(source_mix.WORD))
     done = done.where(left)
     if "n_chars" in docs.columns:

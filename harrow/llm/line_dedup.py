@@ -11,14 +11,15 @@ MIN_CHARS = 20  # shorter lines are left alone
 BLOCK = 500_000  # characters that one block holds at most, but for a longer line
 
 
-def dedup_lines(docs, limit=LIMIT, min_chars=MIN_CHARS, block=BLOCK, report="line_report"):
+def dedup_lines(docs, limit=LIMIT, min_chars=MIN_CHARS, block=BLOCK, report="line_report", equal_chars=None):
     """docs with the text less its repeated lines, and a struct column report (n_lines, n_removed), longs.
 
     Lines end at \\n; blanks, tabs and carriage returns around one do not count.
     Lines of min_chars characters or more link if their edit distance is at most
     limit. Of all lines connected by links, equal ones included, the first stays
     (smallest doc_id, then place in the text; null doc_ids last) and all others
-    go, within and across documents. Shorter lines stay. A null text stays null,
+    go, within and across documents. Shorter lines of equal_chars characters or
+    more link if they are equal; without it they stay. A null text stays null,
     with no lines; a text without a repeat stays as it is. Rows equal in doc_id
     and text are one document and get the same result. Other columns pass
     through, but one named like the report is replaced.
@@ -28,13 +29,14 @@ def dedup_lines(docs, limit=LIMIT, min_chars=MIN_CHARS, block=BLOCK, report="lin
     blocks of bounded size. Equal lines count once in all of this.
     """
     minimum = max(min_chars, limit + 1)
+    least = minimum if equal_chars is None else max(1, min(equal_chars, minimum))
     source = docs.drop(report)
     spans = source.select("text", *_key())
     lines = spans.select("doc", "mark", F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
     lines = lines.select("doc", "mark", "pos", F.btrim("raw", F.lit(" \t\r")).alias("line"))
-    lines = lines.select("*", F.char_length("line").alias("n")).where(F.col("n") >= minimum)
+    lines = lines.select("*", F.char_length("line").alias("n")).where(F.col("n") >= least)
     # one pass over the texts: every line by its hashes, without its text
-    placed = lines.select("doc", "mark", "pos", "n", *_names(), _signatures(limit).alias("signs"))
+    placed = lines.select("doc", "mark", "pos", "n", *_names(), _signatures(limit, minimum).alias("signs"))
     placed = written(placed, "lines")
     distinct = placed.groupBy("id", "second").agg(F.count(F.lit(1)).alias("times"), F.max("n").alias("n"))
     distinct = written(distinct, "distinct")
@@ -67,7 +69,7 @@ def _names():
     return F.xxhash64("line").alias("id"), F.xxhash64(F.lit(1), "line").alias("second")
 
 
-def _signatures(limit):
+def _signatures(limit, minimum):
     n, parts = F.col("n"), limit + 1
 
     def key(missing, i, shift):
@@ -82,7 +84,8 @@ def _signatures(limit):
 
     own = [key(0, i, 0) for i in range(parts)]
     others = [key(*w) for w in tasks.windows(limit) if w[0] or w[2]]
-    return F.array_compact(F.array(*own, *others))
+    signs = F.array_compact(F.array(*own, *others))
+    return F.when(n >= minimum, signs).otherwise(F.array().cast("array<bigint>"))
 
 
 def _without(source, gone, report):

@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from harrow.llm import minhash_dedup
+from harrow.llm import line_dedup, minhash_dedup
 from harrow.llm.html_tasks import blocks, cut, edges, main_text
 from tests.llm import test_corpus
 from tests.llm.test_corpus import WORDS, classes, near_docs, shingles
@@ -116,3 +116,15 @@ def test_cut_is_minimal_on_edges_of_siblings():
             return against + sum(w for i, j, w in links if side[i] != side[j])
 
         assert price(cut(cost, links)) == min(price([bool(m >> i & 1) for i in range(n)]) for m in range(1 << n))
+
+
+def test_pipeline_drops_equal_short_lines(spark):
+    long = "A line that is long enough to be compared"
+    docs = [(1, f"Short one.\n{long}\n\nok\n}}"), (2, f"Short one.\n{long}s\n\nOk\n}}\nok"), (3, " Short one. \nShort one!\n\n")]
+    rows = [(i, t, "en", "s", len(t)) for i, t in docs]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.lines(spark, frame, None).collect()}
+    want = {1: docs[0][1], 2: "\nOk", 3: "Short one!\n\n"}
+    assert got == {i: (t, len(t)) for i, t in want.items()}
+    left = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame).collect()}
+    assert left == {1: docs[0][1], 2: "Short one.\n\nOk\n}\nok", 3: docs[2][1]}
