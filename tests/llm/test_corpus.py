@@ -112,9 +112,9 @@ def shingles(text):
     return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
 
 
-def near_by_force(docs):
+def near_by_force(docs, percent=85):
     sets = {i: shingles(t) for i, t in docs}
-    return classes(list(sets), lambda a, b: sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])), sets
+    return classes(list(sets), lambda a, b: sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])), sets
 
 
 def near_docs(chance):
@@ -240,7 +240,7 @@ def test_pipeline_by_force(spark, tmp_path):
     texts = lines_by_force([(i, t) for i, t in docs if i in kept], line_dedup.LIMIT, line_dedup.MIN_CHARS)
     before = dict(docs)
     texts = {i: t for i, t in texts.items() if t == before[i] or t.encode().split()}
-    group, _ = near_by_force(list(texts.items()))
+    group, _ = near_by_force(list(texts.items()), corpus_pipeline.NEAR_PERCENT)
     texts = {i: t for i, t in texts.items() if group[i] == i}
     where = {r[0]: r for r in rows}
     path = {i: (f"d{ord(where[i][3][-1]) % 4}", where[i][2], where[i][3]) for i in texts}

@@ -7,13 +7,7 @@ import pytest
 import corpus_pipeline
 from harrow.llm import line_dedup, minhash_dedup
 from harrow.llm.html_tasks import blocks, cut, edges, main_text
-from tests.llm import test_corpus
-from tests.llm.test_corpus import WORDS, classes, near_docs, shingles
-
-
-def near_by_force(docs, percent):
-    sets = {i: shingles(t) for i, t in docs}
-    return classes(list(sets), lambda a, b: sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]))
+from tests.llm.test_corpus import WORDS, near_by_force, near_docs, shingles
 
 
 def test_pipeline_links_near_copies_from_80(spark):
@@ -22,8 +16,8 @@ def test_pipeline_links_near_copies_from_80(spark):
     docs += [(200, " ".join(words)), (201, " ".join(words[:30] + ["other"] + words[31:]))]
     one, other = (shingles(t) for _, t in docs[-2:])
     assert 0.80 <= len(one & other) / len(one | other) < 0.85
-    want = near_by_force(docs, 80)
-    assert want[201] == 200 and near_by_force(docs, 85)[201] == 201
+    want, _ = near_by_force(docs, 80)
+    assert want[201] == 200 and near_by_force(docs, 85)[0][201] == 201
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     left = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, frame, None).collect()}
     assert left == {i for i in want if want[i] == i}
@@ -32,11 +26,6 @@ def test_pipeline_links_near_copies_from_80(spark):
         assert {r.doc_id: r.component_id for r in found} == want
 
 
-def test_pipeline_by_force_from_80(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(test_corpus, "near_by_force", lambda docs: (near_by_force(docs, 80), None))
-    test_corpus.test_pipeline_by_force(spark, tmp_path)
-
-
 def test_bands_follow_from_the_threshold():
     assert minhash_dedup.banding(85) == (21, 6)
     for percent in range(4, 100):
