@@ -4,13 +4,16 @@ from harrow.llm import (
     bpe,
     embedding_dedup,
     html_extract,
+    importance_sample,
     license_scan,
     line_dedup,
     minhash_dedup,
     preference_format,
     quality_rules,
+    source_audit,
     source_mix,
     token_counts,
+    toxicity,
 )
 
 QUERIES = {
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_html_extract": html_extract.op8_html_extract,
     "op9_preference_format": preference_format.op9_preference_format,
     "op10_byte_bpe": bpe.op10_byte_bpe,
+    "op11_source_audit": source_audit.op11_source_audit,
+    "op12_toxicity": toxicity.op12_toxicity,
+    "op13_importance_sample": importance_sample.op13_importance_sample,
 }
 
 ORACLES = {
@@ -34,4 +40,6 @@ ORACLES = {
     "op6_source_mix": source_mix.SQL,
     "op7_quality_rules": quality_rules.SQL,
     "op9_preference_format": preference_format.SQL,
+    "op11_source_audit": source_audit.SQL,
+    "op13_importance_sample": importance_sample.SQL,
 }

@@ -19,7 +19,7 @@ def rows_of(columns, rows):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_as_sql(spark, name):
     db = duckdb.connect()
-    for table in ("documents", "embeddings", "conversations"):
+    for table in ("documents", "embeddings", "conversations", "benchmark"):
         db.execute(f"create view {table} as select * from '{SF_DIR}/{table}.parquet'")
     cursor = db.execute(ORACLES[name])
     columns = [d[0] for d in cursor.description]
