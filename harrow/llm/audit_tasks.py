@@ -6,44 +6,48 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 
 _TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-_LOW = {c: c + 32 for c in range(65, 91)}
-_HELD = 300_000  # counts that a task holds before it sends them on
+_HELD = 500_000  # counts that a task holds before it sends them on
 
 
 def counter(batches):
-    """mapInPandas step: rows (lang, text, sources) -> counts of terms, added up over many rows."""
+    """mapInArrow step: rows (lang, text, sources) -> counts of terms, added up over many rows."""
     counts, docs = {}, {}
 
     def out():
-        rows = [(lang, source, term, n, docs[lang, source][term])
-                for (lang, source), own in counts.items() for term, n in own.items()]
+        for (lang, source), own in counts.items():
+            if own:
+                held = docs[lang, source]
+                yield pa.RecordBatch.from_pydict({
+                    "lang": pa.array([lang] * len(own), pa.string()), "source": pa.array([source] * len(own), pa.string()),
+                    "term": pa.array(list(own), pa.string()), "n": pa.array(list(own.values()), pa.int64()),
+                    "docs": pa.array([held[t] for t in own], pa.int64())})
         counts.clear()
         docs.clear()
-        return pd.DataFrame(rows, columns=["lang", "source", "term", "n", "docs"])
 
     held = 0
     for batch in batches:
-        for lang, text, sources in zip(batch["lang"], batch["text"], batch["sources"], strict=True):
-            terms = Counter(_TERM.findall(text.translate(_LOW)))
+        for lang, text, sources in zip(*(batch.column(c).to_pylist() for c in ("lang", "text", "sources")), strict=True):
+            terms = _TERM.findall(text.encode().lower().decode())  # of bytes, so A-Z alone are lowered
             for held_by in sources:
-                source, n = held_by["source"], int(held_by["n"])
-                own = counts.setdefault((lang, source), Counter())
-                held_docs = docs.setdefault((lang, source), Counter())
+                key, n = (lang, held_by["source"]), held_by["n"]
+                own, own_docs = counts.setdefault(key, Counter()), docs.setdefault(key, Counter())
                 held -= len(own)
                 if n == 1:
                     own.update(terms)
-                    held_docs.update(terms.keys())
+                    own_docs.update(set(terms))
                 else:
-                    own.update({t: n * c for t, c in terms.items()})
-                    held_docs.update(dict.fromkeys(terms, n))
+                    once = Counter(terms)
+                    own.update({t: n * c for t, c in once.items()})
+                    own_docs.update(dict.fromkeys(once, n))
                 held += len(own)
             if held > _HELD:
-                yield out()
+                yield from out()
                 held = 0
-    yield out()
+    yield from out()
 
 
 def differences(rows):

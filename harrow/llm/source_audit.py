@@ -62,7 +62,8 @@ def _tally(rows):
         "lang", "text", F.array(F.struct("source", F.lit(1).cast("long").alias("n"))).alias("sources"))
     texts = marked.join(repeated, key, "left_semi").select(*key, "text").distinct()
     copied = texts.join(often, key).select("lang", "text", "sources")
-    counted = once.unionByName(copied).mapInPandas(tasks.counter, "lang string, source string, term string, n long, docs long")
+    kind = "lang string, source string, term string, n long, docs long"
+    counted = once.unionByName(copied).mapInArrow(tasks.counter, kind)
     return counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
