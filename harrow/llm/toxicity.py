@@ -24,7 +24,7 @@ def character_costs(docs):
     gets is a table of fixed size, one cell for each three of SIZE characters.
     """
     texts = docs.where("text is not null").select("text")
-    words = texts.mapInPandas(tasks.word_counter, "word string, n long")
+    words = texts.mapInArrow(tasks.word_counter, "word string, n long")
     words = words.groupBy("word").agg(F.sum("n").alias("n"))
     grams = words.mapInPandas(tasks.gram_counter, "gram long, n long")
     found = grams.groupBy("gram").agg(F.sum("n").alias("n")).toPandas()

@@ -1,17 +1,19 @@
 """Character model, noisy-channel decoding of disguised words, and features of restored texts, inside tasks."""
 
+import math
 import re
 import sys
 from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 
 # characters as the model sees them: 0 a word's edge, 1-26 a-z, then one of 32 classes for all other letters
 SIZE = 59
 _OTHERS = 32
-_HELD = 300_000
+_HELD = 400_000
 
 # Letters that a sign stands for in disguised words.
 LEET = {
@@ -28,6 +30,9 @@ _TOKEN = re.compile(rf"[{_SIGNS}]?[^\W_]+(?:[{_SIGNS}]+[^\W_]+)*")
 _DISGUISED = re.compile(rf"{_LETTER}[\d{_SIGNS}]|[\d{_SIGNS}]{_LETTER}|({_LETTER})\1\1")
 _ONE = rf"(?:{_LETTER}|[\d{_SIGNS}])"
 _SPACED = re.compile(rf"(?<![\w{_SIGNS}]){_ONE}(?:[ ._*-]{{1,2}}{_ONE}){{2,}}(?![\w{_SIGNS}])")
+# what any such run holds: a single character between gaps, and one after it
+_MAYBE_SPACED = re.compile(rf"[ ._*-][\w{_SIGNS}][ ._*-]{{1,2}}[\w{_SIGNS}](?![\w{_SIGNS}])")
+_TRIPLE = re.compile(r"(.)\1\1", re.DOTALL)
 _RUN = re.compile(r"(.)\1*", re.DOTALL)
 
 # costs of the channel, as negative logarithms of its probabilities
@@ -44,15 +49,20 @@ def code(c):
 
 
 def word_counter(batches):
-    """mapInPandas step: texts -> (word, n), lower-cased words added up over many texts."""
+    """mapInArrow step: texts -> (word, n), lower-cased words added up over many texts."""
     counts = Counter()
+
+    def out():
+        found = pa.RecordBatch.from_pydict({"word": pa.array(list(counts), pa.string()), "n": pa.array(list(counts.values()), pa.int64())})
+        counts.clear()
+        return found
+
     for batch in batches:
-        for text in batch["text"]:
+        for text in batch.column("text").to_pylist():
             counts.update(WORD.findall(text.lower()))
             if len(counts) > _HELD:
-                yield pd.DataFrame(list(counts.items()), columns=["word", "n"])
-                counts.clear()
-    yield pd.DataFrame(list(counts.items()), columns=["word", "n"])
+                yield out()
+    yield out()
 
 
 def gram_counter(batches):
@@ -154,14 +164,18 @@ class Restorer:
                 places += self.lattice(part)
         return self.decode(places)
 
+    def joined(self, text):
+        """A lower-cased text with its spaced words joined."""
+        return _SPACED.sub(lambda m: self.spaced(m[0]), text) if _MAYBE_SPACED.search(text) else text
+
     def text(self, text):
         """The whole text, lower-cased and restored."""
-        text = _SPACED.sub(lambda m: self.spaced(m[0]), text.lower())
+        text = self.joined(text.lower())
         return _TOKEN.sub(lambda m: self.token(m[0]), text)
 
     def words(self, text):
         """The different words of the restored text."""
-        text = _SPACED.sub(lambda m: self.spaced(m[0]), text.lower())
+        text = self.joined(text.lower())
         found = set()
         for token in set(_TOKEN.findall(text)):
             if token.isalpha() and not _DISGUISED.search(token):
@@ -239,33 +253,42 @@ def fit(rows, size, penalty=1.0, steps=500):
     return w, float(bias)
 
 
+def has_triple(text):
+    """Whether any character stands three times in a row."""
+    x = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    same = x[1:] == x[:-1]
+    return bool((same[1:] & same[:-1]).any())
+
+
 def scorer(shared):
     """Pandas UDF step: texts -> (score, n_restored)."""
 
     def run(batches):
         table, index, weights, bias = shared.value
-        restorer = Restorer(table)
-        known = {}  # token -> (numbers of its features, whether it was disguised)
+        restorer, weights = Restorer(table), weights.tolist()
+        starts = {f.removesuffix("-")[:3] for f in index}  # a word that begins otherwise has no feature
+
+        def add(word, seen):
+            if word[:3] in starts and word not in seen:
+                seen[word] = [index[f] for f in features(word) if f in index]
 
         for batch in batches:
             out = []
             for text in batch:
                 low = "" if text is None else text.lower()
-                plain = _SPACED.sub(lambda m: restorer.spaced(m[0]), low)
-                seen, restored = {}, int(plain != low)
+                plain = restorer.joined(low)
+                seen, restored, triple = {}, int(plain != low), has_triple(plain)
                 for token in set(_TOKEN.findall(plain)):
-                    if token not in known:
-                        if len(known) > 200_000:
-                            known.clear()
-                        own = {w: [index[f] for f in features(w) if f in index] for w in WORD.findall(restorer.token(token))}
-                        known[token] = {w: f for w, f in own.items() if f}, restorer.token(token) != token
-                    own, changed = known[token]
-                    restored += changed
-                    if own:
-                        seen.update(own)
+                    if token.isalpha() and not (triple and _TRIPLE.search(token)):
+                        add(token, seen)
+                        continue
+                    meant = restorer.token(token)
+                    restored += meant != token
+                    for word in WORD.findall(meant):
+                        add(word, seen)
                 counts = Counter(f for own in seen.values() for f in own)
-                z = bias + sum(weights[f] * np.log1p(n) for f, n in counts.items())
-                out.append((1 / (1 + np.exp(-np.clip(z, -30, 30))), restored))
+                z = bias + math.fsum(weights[f] * math.log1p(n) for f, n in counts.items())
+                out.append((1 / (1 + math.exp(-min(max(z, -30), 30))), restored))
             yield pd.DataFrame(out, columns=["score", "n_restored"])
 
     return run
