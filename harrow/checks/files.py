@@ -166,6 +166,46 @@ def _(spark, sf):
     return kept.unionByName(left.select("feed", "reason", none.alias("n_rows"), none.alias("ids")))
 
 
+@check(
+    "feed_broken",
+    f"WITH {listings._LOADED} SELECT 'a_loans' AS feed, 'read' AS reason, row_id, name FROM loaded"
+    " UNION ALL SELECT 'b_loans', 'bytes that are not UTF-8', NULL, NULL"
+    " UNION ALL SELECT 'c_loans', 'compressed file is cut or broken', NULL, NULL"
+    " UNION ALL SELECT 'd_loans', 'quote left open', NULL, NULL",
+)
+def _(spark, sf):
+    """One good feed; one with a part that has bad bytes after its header, one with a cut gzip part, one with an open quote.
+
+    Runs jobs while the frame is built: the feeds are written, and read once.
+    """
+    folder = stage_path(spark, "feeds")
+    raw = derived(spark, sf, RAW_LISTINGS).select(*_SHORT)
+    for name in ("a_loans", "b_loans", "d_loans"):
+        sinks.write_feed_csv(raw, folder, name, _STAMP)
+    lines = F.array(F.lit("row_id,name,source"), F.lit("1,x,s"), F.concat(F.lit("2,"), F.unhex(F.lit("E9")).cast("string"), F.lit(",s")))
+    bad = spark.range(1).coalesce(1).select(F.explode(lines).alias("value"))
+    bad.write.mode("append").text(f"{folder}/b_loans_{_STAMP}.csv")
+    lines = F.array(F.lit("row_id,name,source"), F.lit('1,"never closed,s'), F.lit("2,x,s"))
+    spark.range(1).coalesce(1).select(F.explode(lines).alias("value")).write.mode("append").text(f"{folder}/d_loans_{_STAMP}.csv")
+    whole = f"{folder}/whole"
+    raw.write.options(header=True, compression="gzip").csv(whole)
+    content = spark.read.format("binaryFile").load(feeds.parts(spark, whole)).select("content")
+    cut = content.select(F.expr("substring(content, 1, length(content) - 40)").cast("string").alias("value"))
+    cut.write.text(f"{folder}/c_loans_{_STAMP}.csv")
+    for part in feeds.parts(spark, f"{folder}/c_loans_{_STAMP}.csv"):
+        fs, path = feeds._fs(spark, part)
+        fs.rename(path, path.suffix(".gz"))
+
+    def feed(path):
+        return F.regexp_extract(path, r"/(\w_loans)_[^/]*\.csv", 1).alias("feed")
+
+    read = feeds.read_feeds(spark, feeds.discover(spark, folder, feeds.LOAN_NAMES))
+    kept = read.table.select(feed("_file"), F.lit("read").alias("reason"), F.col("row_id").cast("long").alias("row_id"), "name")
+    none = F.lit(None)
+    left = read.rejected.select(feed("file"), "reason").distinct()
+    return kept.unionByName(left.select("feed", "reason", none.cast("long").alias("row_id"), none.cast("string").alias("name")))
+
+
 _WIDE = 700  # columns whose names of 100 characters make a header of 70 KB
 
 

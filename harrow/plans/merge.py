@@ -3,6 +3,7 @@
 import logging
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -47,6 +48,8 @@ def ingest(spark, registry, order, folder=None, stamp=None):
     Every feed is staged as a table, so one that fails, even late, is logged and
     left out, and none is computed twice. With ``folder`` the feeds and the
     merged table are written there too. Returns None where no feed yields rows.
+    The frames of the result read the stages: a caller that opens a
+    ``stage_scope`` around the run uses them inside it.
     """
 
     def run(feed):
@@ -65,14 +68,15 @@ def ingest(spark, registry, order, folder=None, stamp=None):
             return None, True
 
     with ThreadPoolExecutor(max(1, len(registry))) as pool:
-        results = list(pool.map(run, registry))
+        jobs = [pool.submit(copy_context().run, run, feed) for feed in registry]
+        results = [job.result() for job in jobs]
     staged = [frame for frame, _ in results if frame is not None]
     failed = tuple(feed.name for feed, (_, bad) in zip(registry, results) if bad)
     if not staged:
         return None
     buffer, table = merge(staged, order)
+    table = stage_table(table, "merged")  # read by each part of the result
     if folder:
-        table = stage_table(table, "merged")
         plain = ("_feed", *order)
         sinks.write_merged(table.drop(*plain), buffer.drop(*plain), folder, stamp)
     return Merged(

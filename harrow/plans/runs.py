@@ -4,6 +4,7 @@ from datetime import datetime, timezone
 
 from harrow.operators import conform
 from harrow.plans import clean
+from harrow.session import stage_scope
 from harrow.sources import feeds, sinks
 
 
@@ -12,19 +13,21 @@ def clean_loan_folder(spark, folder, out, stamp=None, exclude_outputs=False, ali
 
     Returns the path of the stable copy, or None where no feed could be read.
     """
-    raw = feeds.load_loan_feeds(spark, folder, exclude_outputs)
-    if raw is None:
-        return None
-    chain = clean.clean_loans(conform.name_from_product(raw), feeds.LOAD_ORDER, alias_fallback)
-    return _write(chain, out, "loans", stamp)
+    with stage_scope(spark):
+        raw = feeds.load_loan_feeds(spark, folder, exclude_outputs)
+        if raw is None:
+            return None
+        chain = clean.clean_loans(conform.name_from_product(raw), feeds.LOAD_ORDER, alias_fallback)
+        return _write(chain, out, "loans", stamp)
 
 
 def clean_scholarship_folder(spark, folder, out, stamp=None, exclude_outputs=False):
     """Load the scholarship feeds of a folder, clean them, write table and report."""
-    raw = feeds.load_scholarship_feeds(spark, folder, exclude_outputs)
-    if raw is None:
-        return None
-    return _write(clean.clean_scholarships(raw, feeds.LOAD_ORDER), out, "scholarships", stamp)
+    with stage_scope(spark):
+        raw = feeds.load_scholarship_feeds(spark, folder, exclude_outputs)
+        if raw is None:
+            return None
+        return _write(clean.clean_scholarships(raw, feeds.LOAD_ORDER), out, "scholarships", stamp)
 
 
 def _write(chain, out, name, stamp):

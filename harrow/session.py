@@ -2,10 +2,13 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
 _STAGE_KEY = "spark.checkpoint.dir"
+_made = ContextVar("stages made in the open scope", default=None)
 
 
 def local_session(cores="*", name="harrow", **conf):
@@ -43,8 +46,32 @@ def stage_dir(spark):
     return folder
 
 
+@contextmanager
+def stage_scope(spark):
+    """Owns the stages made inside: they are deleted at its end, also after a failure.
+
+    What is returned from it must not read them any more. Scopes may be nested;
+    each owns its own. A thread started inside sees the scope only if it runs in
+    a copy of the context.
+    """
+    made = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for path in made:
+            path = hadoop.Path(path)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage_path(spark, name):
-    return f"{stage_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{stage_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    made = _made.get()
+    if made is not None:
+        made.append(path)
+    return path
 
 
 def stage_table(df, name):

@@ -1,15 +1,15 @@
 """Feed files: discovery by name, header-aware CSV reading, load order."""
 
-import csv
-import io
 import logging
-from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harrow.operators.conform import map_null_tokens
-from harrow.operators.union import union_feeds
-from harrow.schema import string_schema
+from harrow.session import stage_table
+from harrow.sources import records
+from harrow.sources.record_tasks import file_path
 
 log = logging.getLogger(__name__)
 
@@ -23,9 +23,8 @@ OUTPUT_NAMES = ("loans_cleaned", "scholarships_cleaned")
 # A large file read in blocks keeps its order through the block start.
 LOAD_ORDER = ("_file", "_block", "_row")
 
-_SURPLUS = "_surplus"
-_HEADER_BYTES = 1 << 16  # read first; more where the header is longer
-_PROBES = 32
+_LOGGED = 1000  # files left out that are named in the log
+_PART = r"^(.*\.csv)/part-[^/]*$"  # a part of a feed that Spark wrote as a folder
 
 
 def _wanted(name, rule, exclude_outputs):
@@ -49,57 +48,28 @@ def parts(spark, folder):
     return sorted(p.toString() for p in names if p.getName().startswith("part-"))
 
 
+def listing(spark, folder):
+    """Paths of all files of a folder and of the folders in it, empty ones too; tasks list where there are many folders."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    return [file_path(uri) for uri in found.inputFiles()]
+
+
 def discover(spark, folder, rule, exclude_outputs=False):
     """Paths of the feed files of a folder, by name. A feed may be one file or
     a folder of part files as Spark writes it."""
     fs, path = _fs(spark, folder)
     if not fs.exists(path):
         return []
+    root = fs.getFileStatus(path).getPath().toString().rstrip("/")
     found = []
-    for status in fs.listStatus(path):
-        name = status.getPath().getName()
-        if not _wanted(name, rule, exclude_outputs):
-            continue
-        if status.isDirectory():
-            found += parts(spark, status.getPath().toString())
-        else:
-            found.append(status.getPath().toString())
+    for file in listing(spark, folder):
+        name, *below = file[len(root) + 1:].split("/")
+        part = not below or len(below) == 1 and below[0].startswith("part-")
+        if part and _wanted(name, rule, exclude_outputs):
+            found.append(file)
     return sorted(found)
 
 
-def _header(spark, path):
-    """Column names of one file, from as many bytes as its first record has."""
-    fs, p = _fs(spark, path)
-    length, size = fs.getFileStatus(p).getLen(), _HEADER_BYTES
-    text = None
-    while text is None:
-        text = _first_record(_head(spark, fs, p, min(size, length)), size >= length)
-        size *= 4
-    names = next(csv.reader(io.StringIO(text.removeprefix("\ufeff"), newline="")), None)
-    if not names:
-        raise ValueError("no header")
-    return _unique(names)
-
-
-def _head(spark, fs, path, size):
-    stream = fs.open(path)
-    try:
-        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream, size))
-    finally:
-        stream.close()
-
-
-def _first_record(head, whole):
-    """The text up to the first line end outside quotes, or None where more bytes are needed."""
-    text = head.decode("utf-8", errors="strict" if whole else "ignore")
-    at = text.find("\n")
-    while at >= 0 and text.count('"', 0, at) % 2:
-        at = text.find("\n", at + 1)
-    if at >= 0:
-        return text[:at + 1]
-    return text if whole else None
-
-
 def _unique(names):
     """Blank and repeated column names get a number."""
     seen, out = {}, []
@@ -111,78 +81,64 @@ def _unique(names):
     return tuple(out)
 
 
-def _read_same_header(spark, header, paths, multiline):
-    reader = (
-        spark.read.schema(string_schema([*header, _SURPLUS]))
-        .option("header", True)
-        .option("multiLine", multiline)
-        .option("escape", '"')
-        .option("encoding", "UTF-8")
-    )
-    return reader.csv(list(paths)).select(
-        *[F.col(f"`{c}`") for c in header],
-        F.col(_SURPLUS),
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_row"),
-    )
-
-
-def _by_header(spark, paths):
-    """({header: paths}, [(path, reason)] of files without a readable header)."""
-
-    def probe(path):
-        try:
-            return _header(spark, path)
-        except Exception as error:  # any unreadable file must not stop the rest
-            log.error("skipped %s: %s", path, error)
-            return error
-
-    with ThreadPoolExecutor(_PROBES) as pool:
-        headers = list(pool.map(probe, paths))
-    groups, failed = {}, []
-    for path, header in zip(paths, headers):
-        if isinstance(header, tuple):
-            groups.setdefault(header, []).append(path)
-        else:
-            failed.append((path, str(header).split("\n")[0]))
-    return groups, failed
-
-
-def _ragged(frame):
-    return frame.where(F.col(_SURPLUS).isNotNull()).select("_file").distinct()
-
-
-def rejected_files(spark, paths, multiline=True):
-    """(file, reason) of every file that ``read_feed_files`` leaves out as a whole."""
-    groups, failed = _by_header(spark, paths)
-    found = spark.createDataFrame(failed, "file string, reason string")
-    for header, files in groups.items():
-        ragged = _ragged(_read_same_header(spark, header, files, multiline))
-        found = found.unionByName(ragged.select(F.col("_file").alias("file"), F.lit("row longer than header").alias("reason")))
-    return found
-
-
-def read_feed_files(spark, paths, multiline=True, skip_ragged=True):
-    """Union of feed files with differing headers, all columns as text.
-
-    Files are read per header, as one reader call takes one header for all its
-    files. A file that cannot be opened or has no header is logged and left out,
-    and so is (``skip_ragged``) a file with a row that is longer than its header;
-    ``rejected_files`` names both kinds.
-    Returns None where nothing can be read.
+@dataclass(frozen=True)
+class Feeds:
+    """``table``: the rows of all sound feeds (None where there is none); ``rejected``: (file, reason) of those left out."""
+
+    table: DataFrame | None
+    rejected: DataFrame
+
+
+def read_feeds(spark, paths, skip_ragged=True):
+    """Feed files with differing headers in one scan, all columns as text.
+
+    The header, the rows and the verdict on each file come from the same read.
+    A file is left out as a whole where it is not UTF-8 to its end, where a
+    compressed one is cut or broken, where a quoted cell is never closed, and
+    (``skip_ragged``) where a row is longer than its header; of a feed that Spark
+    wrote as a folder, all parts are then left out. A file without any record
+    has no header and no rows. Blank lines are skipped, missing cells are NULL.
+
+    Cells find their column through the positions that their header gives, so
+    the plan grows with the number of columns and not with that of headers.
     """
+    if not paths:
+        return Feeds(None, spark.createDataFrame([], "file string, reason string"))
+    read = records.read(spark, paths)
+    files = read.files.withColumn("feed", F.coalesce(F.nullif(F.regexp_extract("file", _PART, 1), F.lit("")), F.col("file")))
+    if skip_ragged:
+        ragged = F.when(F.col("width") > F.size("header"), F.lit(records.RAGGED))
+        files = files.withColumn("reason", F.coalesce("reason", ragged))
+    files = stage_table(files.select("file", "feed", "header", "reason"), "files")
+    # a part without a record takes nothing from its feed
+    broken = files.where(F.col("reason").isNotNull() & (F.col("reason") != records.NO_HEADER))
+    broken = broken.groupBy("feed").agg(F.min("reason").alias("feed_reason"))
+    files = files.join(broken, "feed", "left").select("file", "header", F.coalesce("reason", "feed_reason").alias("reason"))
+    rejected = files.where(F.col("reason").isNotNull()).select("file", "reason")
+    for row in rejected.limit(_LOGGED).collect():
+        log.error("skipped %s: %s", row["file"], row["reason"])
+    sound = files.where(F.col("reason").isNull())
+    headers = sound.groupBy("header").agg(F.min("file").alias("first")).orderBy("first").collect()
+    if not headers:
+        return Feeds(None, rejected)
+    names = [_unique(h["header"]) for h in headers]
+    columns = list(dict.fromkeys(c for own in names for c in own))
+    places = [(h["header"], [own.index(c) if c in own else -1 for c in columns]) for h, own in zip(headers, names, strict=True)]
+    places = spark.createDataFrame(places, "header array<string>, places array<int>")  # a row for each different header
+    placed = read.rows.join(sound.join(F.broadcast(places), "header").select("file", "places"), "file")
+    cells = [F.get("cells", F.get("places", F.lit(i))).alias(c) for i, c in enumerate(columns)]
+    place = (F.col("file").alias("_file"), F.col("block").alias("_block"), (F.shiftleft("seq", 24) + F.col("part")).alias("_row"))
+    return Feeds(map_null_tokens(placed.select(*cells, *place), keep=LOAD_ORDER), rejected)
+
+
+def rejected_files(spark, paths):
+    """(file, reason) of every file that ``read_feed_files`` leaves out as a whole."""
+    return read_feeds(spark, paths).rejected
+
 
-    groups, _ = _by_header(spark, paths)
-    if not groups:
-        return None
-    frames = []
-    for header, files in groups.items():
-        frame = _read_same_header(spark, header, files, multiline)
-        if skip_ragged:
-            frame = frame.join(_ragged(frame), "_file", "left_anti")
-        frames.append(map_null_tokens(frame.drop(_SURPLUS), keep=LOAD_ORDER))
-    return union_feeds(frames)
+def read_feed_files(spark, paths, skip_ragged=True):
+    """The rows of ``read_feeds``: union of feed files, or None where nothing can be read."""
+    return read_feeds(spark, paths, skip_ragged).table
 
 
 def load_loan_feeds(spark, folder, exclude_outputs=False, **options):

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import seeds
+from harrow import session
 from harrow.operators import dedup, expand, union
 from harrow.plans import clean, merge, runs
 from harrow.schema import COMMON, string_schema
@@ -145,6 +146,24 @@ def test_scholarship_folder(spark, tmp_path):
     assert runs.clean_scholarship_folder(spark, str(tmp_path / "none"), out) is None
 
 
+def _stages(spark):
+    return set(glob.glob(f"{session.stage_dir(spark).removeprefix('file:')}/*"))
+
+
+def test_stages_end_with_their_run(spark, tmp_path):
+    _write(tmp_path, "x_scholarships_1.csv", "name,source\nGrant,s\n")
+    _write(tmp_path, "x_loans_1.csv", "name,source\nLoan,s\n")
+    before = _stages(spark)
+    assert runs.clean_loan_folder(spark, str(tmp_path), str(tmp_path / "out")) and runs.clean_scholarship_folder(
+        spark, str(tmp_path), str(tmp_path / "out"))
+    assert _stages(spark) == before
+    with pytest.raises(RuntimeError), session.stage_scope(spark):
+        merged = merge.ingest(spark, [merge.Feed("one", _feed([(1, "a", "s1", "")])), merge.Feed("late", _late_failure)], ["ord"])
+        assert merged.table.count() == 1 and _stages(spark) > before
+        raise RuntimeError("stop")
+    assert _stages(spark) == before
+
+
 def _feed(rows):
     return lambda spark: spark.createDataFrame(rows, "ord long, name string, source string, description string")
 
