@@ -15,6 +15,7 @@ from harrow.operators.filters import (
     is_requirement_item, is_valid_name,
 )
 from harrow.schema import COMMON, ENTRY_EXTRAS, NA
+from harrow.session import stage_table
 
 # --- fixed values: where each page shape keeps its content ------------------
 CASCADE_CONTENT = (("article", None), ("div", ("item-page", "content", "main-content")))
@@ -50,38 +51,42 @@ def _listing(records, source, url, extras=(), **columns):
     return records.select(*PLACE, *[values[c].alias(c) for c in COMMON + tuple(extras)])
 
 
-def _per_parent(found, make):
-    """Map from parent id to facts read off the parent, each parent once.
+def _with_parent_facts(page, make):
+    """Add ``facts`` read off the parents of the nodes ``found``, and where each parent's stand.
 
     Siblings share a container, so its text is built once and not per sibling.
     """
-    parents = F.array_distinct(F.transform(found, lambda n: n["parent"]))
-    facts = F.transform(parents, lambda p: F.struct(p, make(G.node_at(_nodes(), p))))
-    return F.map_from_entries(facts)
+    parents = F.array_sort(F.array_distinct(F.transform("found", lambda n: n["parent"])))
+    page = G.once(page.withColumn("parents", parents))
+    facts = F.transform("parents", lambda p: make(G.node_at(_nodes(), p)))
+    return page.withColumns({"facts": facts, "parents_at": G.position_at(F.col("parents"))})
+
+
+def _fact(n):
+    return F.get("facts", F.get("parents_at", n["parent"]))
 
 
 def container_text(parsed, *tags):
     """Text of the parent of each node with one of the tags."""
     found = parsed.select("page_id", "nodes", "strings", G.tagged(_nodes(), *tags).alias("found"))
-    texts = found.withColumn("texts", _per_parent(F.col("found"), lambda n: G.raw_text(_strings(), n)))
-    rows = F.transform(
-        F.col("found"),
-        lambda n: F.struct(n["id"].alias("node_id"), F.col("texts")[n["parent"]].alias("container_text")),
-    )
+    texts = _with_parent_facts(found, lambda n: G.raw_text(_strings(), n))
+    rows = F.transform("found", lambda n: F.struct(n["id"].alias("node_id"), _fact(n).alias("container_text")))
     return texts.select("page_id", F.inline(rows))
 
 
 def heading_next(parsed, headings, following):
     """Text of the first following node of some tags, for each heading."""
+    page = G.once(parsed.withColumn("later", G.tagged(_nodes(), *following)))
+    page = page.withColumn("later_at", G.next_at(F.col("later")))
     rows = F.transform(
         G.tagged(_nodes(), *headings),
         lambda n: F.struct(
             n["id"].alias("node_id"),
             G.text(_strings(), n).alias("heading"),
-            G.text(_strings(), G.next_of(F.col("later"), _nodes(), n, G.has_tag(*following))).alias("next_text"),
+            G.text(_strings(), G.next_of(F.col("later"), F.col("later_at"), n)).alias("next_text"),
         ),
     )
-    return parsed.withColumn("later", G.tagged(_nodes(), *following)).select("page_id", F.inline(rows))
+    return page.select("page_id", F.inline(rows))
 
 
 def harvest_headings(parsed, source, site_root, url=None, dedup=True):
@@ -100,15 +105,16 @@ def harvest_headings(parsed, source, site_root, url=None, dedup=True):
         G.tagged(_nodes(), "p", "div").alias("blocks"),
         G.links(_nodes()).alias("links"),
     )
-    found = found.withColumn("facts", _per_parent(F.col("found"), facts))
+    found = _with_parent_facts(found, facts)
+    found = found.withColumns({"blocks_at": G.next_at(F.col("blocks")), "links_at": G.next_at(F.col("links"))})
     rows = F.transform(
         F.col("found"),
         lambda n: F.struct(
             n["id"].alias("node_id"),
-            F.col("facts")[n["parent"]].alias("fact"),
+            _fact(n).alias("fact"),
             G.text(_strings(), n).alias("title"),
-            G.text(_strings(), G.next_of(F.col("blocks"), _nodes(), n, G.has_tag("p", "div"))).alias("next_text"),
-            G.next_of(F.col("links"), _nodes(), n, G.is_link)["attrs"]["href"].alias("href"),
+            G.text(_strings(), G.next_of(F.col("blocks"), F.col("blocks_at"), n)).alias("next_text"),
+            G.next_of(F.col("links"), F.col("links_at"), n)["attrs"]["href"].alias("href"),
         ),
     )
     records = found.select("page_id", "url", F.inline(rows))
@@ -130,13 +136,13 @@ def harvest_cascade(parsed, source, url=None, dedup=True):
     """List items that look like listings; where a page has none, paragraphs;
     where it has none of these either, headings with the paragraph after them."""
     content = F.col("content")
-    page = parsed.withColumns(
-        {"content": G.main_content(_nodes(), CASCADE_CONTENT), "paragraphs": G.tagged(_nodes(), "p")}
-    )
+    page = G.once(parsed.select("page_id", "url", "nodes", "strings", G.main_content(_nodes(), CASCADE_CONTENT).alias("content"),
+                                G.tagged(_nodes(), "p").alias("paragraphs")))
+    page = page.withColumn("paragraphs_at", G.next_at(F.col("paragraphs")))
 
     def picked(tags, test, next_paragraph=False):
         def record(n):
-            paragraph = G.next_of(F.col("paragraphs"), _nodes(), n, G.has_tag("p"))
+            paragraph = G.next_of(F.col("paragraphs"), F.col("paragraphs_at"), n)
             after = G.text(_strings(), paragraph) if next_paragraph else F.lit("")
             return F.struct(
                 n["id"].alias("node_id"),
@@ -147,14 +153,13 @@ def harvest_cascade(parsed, source, url=None, dedup=True):
         found = F.transform(G.tagged(G.inside(_nodes(), content), *tags), record)
         return F.filter(found, lambda r: test(r["text"]))
 
-    def or_else(column, other):
-        return F.when(F.size(column) > 0, column).otherwise(other)
+    def or_else(found, other):
+        """Each is worked out once at most, and the other only where nothing was found."""
+        return let(found, lambda x: F.when(F.size(x) > 0, x).otherwise(other))
 
-    page = page.withColumn("items", picked(("li",), is_item_candidate))
-    page = page.withColumn("items", or_else(F.col("items"), picked(("p",), is_paragraph_candidate)))
     headings = picked(("h2", "h3", "h4", "h5"), is_heading_candidate, next_paragraph=True)
-    page = page.withColumn("items", or_else(F.col("items"), headings))
-    records = page.select("page_id", "url", F.inline("items"))
+    items = or_else(picked(("li",), is_item_candidate), or_else(picked(("p",), is_paragraph_candidate), headings))
+    records = page.select("page_id", "url", F.inline(items))
     out = _listing(
         records,
         source,
@@ -179,8 +184,14 @@ def article_links(parsed):
 
 
 def follow_links(pages, links):
-    """Pages behind the links that listing pages gave, unparsed, each once."""
-    return pages.join(links.select(F.col("link").alias("url")), "url", "left_semi").select(*pages.columns)
+    """Pages behind the links that listing pages gave, unparsed, each once.
+
+    The links are staged, so that the planner knows their size: few are
+    broadcast, of many a Bloom filter goes to the scan of the pages, and either
+    way the html of no other page is moved.
+    """
+    wanted = stage_table(links.select(F.col("link").alias("url")).distinct(), "links")
+    return pages.join(wanted, "url", "left_semi").select(*pages.columns)
 
 
 def page_title(parsed):
@@ -325,11 +336,11 @@ def harvest_entries(parsed, source, base_url, contact, country, languages, url=N
         "page_id", "url", "nodes", "strings",
         F.filter(titles, lambda t: has_link_prefix(t["a"]["attrs"]["href"])).alias("found"),
     )
-    found = found.withColumn("facts", _per_parent(F.col("found"), facts))
+    found = _with_parent_facts(found, facts)
     rows = F.transform(
         F.col("found"),
         lambda t: F.struct(
-            t["id"].alias("node_id"), F.col("facts")[t["parent"]].alias("fact"),
+            t["id"].alias("node_id"), _fact(t).alias("fact"),
             G.text(_strings(), t["a"]).alias("title"), t["a"]["attrs"]["href"].alias("href"),
         ),
     )

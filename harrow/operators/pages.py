@@ -18,10 +18,6 @@ from harrow.functions.text import let, strip
 from harrow.operators.page_tree import NODES_TYPE, PARSED_SCHEMA, parse_batches
 
 
-# nodes to look at before a search goes over all candidates of the page
-_NEAR = 64
-
-
 def parse_pages(pages):
     """One node tree per page. The only Python in the engine; filter pages
     before this step, nothing is pushed through it."""
@@ -49,13 +45,33 @@ def reach(nodes, n, count):
     return _span(nodes, n["id"] + 1, F.least(n["id"] + 1 + count, F.size(nodes)), NODES_TYPE)
 
 
-def next_of(candidates, nodes, n, test):
-    """First of the page's candidates after a node's start tag, its own
-    descendants included. ``candidates`` are the nodes that pass ``test``, as a
-    column worked out once per page; looking nearby first keeps a page with many
-    headings from walking them all for each."""
-    near = first(F.filter(reach(nodes, n, _NEAR), test))
-    return F.coalesce(near, first(F.filter(candidates, lambda m: m["id"] > n["id"])))
+def next_at(candidates):
+    """For each node, by its id, the position of the first candidate after its start tag, its own descendants included.
+
+    Built in one pass: each candidate stands for the nodes since the one before.
+    ``candidates`` must be a column that is worked out already (``once``).
+    """
+    def reached(c, k):
+        before = F.coalesce(F.get(candidates, k - 1)["id"], F.lit(0))
+        return F.array_repeat(k, c["id"] - before)
+
+    return F.flatten(F.transform(candidates, reached))
+
+
+def next_of(candidates, at, n):
+    """The first of the page's candidates after a node; ``at`` is their ``next_at``, worked out already."""
+    return F.get(candidates, F.get(at, n["id"]))
+
+
+def position_at(ids):
+    """For each number up to the last of some sorted, different ids: the position of the first id that is not below it."""
+    return F.flatten(F.transform(ids, lambda i, k: F.array_repeat(k, i - F.coalesce(F.get(ids, k - 1), F.lit(-1)))))
+
+
+def once(df):
+    """The frame with its columns worked out. What follows reads them and is not merged with what they are made of,
+    which would work them out once for each use, in a lambda for each element."""
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
 
 
 def has_tag(*tags):
