@@ -201,3 +201,43 @@ def test_follow_links(spark):
 def test_page_plan_has_no_shuffle(spark):
     plan = harvest.harvest_articles(_pages(spark, "<p>x</p>"), _src())._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and plan.count("MapInArrow") == 1
+
+
+def test_next_and_parents_by_position(spark):
+    """Each node's next candidate and its parent's place, against a plain search."""
+    import random
+
+    from harrow.operators import pages as G
+
+    chance = random.Random(3)
+    html = "".join(chance.choice(["<p>a</p>", "<div>", "</div>", "<h3>t</h3>", "<a href=x>l</a>"]) for _ in range(300))
+    parsed = G.parse_pages(spark.createDataFrame([(1, "u", html), (2, "u", ""), (3, "u", None)], "page_id long, url string, html string"))
+    page = G.once(parsed.withColumn("found", G.tagged(F.col("nodes"), "p", "a")))
+    page = page.withColumn("at", G.next_at(F.col("found")))
+    parents = F.array_sort(F.array_distinct(F.transform("nodes", lambda n: F.coalesce(n["parent"], F.lit(0)))))
+    page = G.once(page.withColumn("parents", parents)).withColumn("parents_at", G.position_at(F.col("parents")))
+    seen = page.select("nodes", "parents", F.transform("nodes", lambda n: G.next_of(F.col("found"), F.col("at"), n)["id"]).alias("next"),
+                       "parents_at").collect()
+    assert len(seen) == 3 and len(seen[0].nodes) > 100
+    for row in seen:
+        found = [n.id for n in row.nodes if n.tag in ("p", "a")]
+        assert row.next == [next((c for c in found if c > n.id), None) for n in row.nodes]
+        assert [row.parents[row.parents_at[n.parent or 0]] for n in row.nodes] == [n.parent or 0 for n in row.nodes]
+
+
+def test_cascade_plan_holds_each_strategy_once(spark):
+    from harrow.operators import pages as G
+
+    parsed = G.parse_pages(spark.createDataFrame([(1, "u", "<li>x</li>")], "page_id long, url string, html string"))
+    plan = harvest.harvest_cascade(parsed, F.lit("s"), dedup=False)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_repeat(") == 1  # the next paragraphs, once for each page
+    assert plan.count("filter(") < 60
+
+
+def test_followed_pages_are_not_shuffled(spark):
+    pages = spark.range(5).selectExpr("id AS page_id", "concat('u', id) AS url", "repeat('x', 50) AS html")
+    links = spark.createDataFrame([("u1",), ("u3",), ("u1",), ("u9",)], "link string")
+    followed = harvest.follow_links(pages, links)
+    assert sorted(r.url for r in followed.collect()) == ["u1", "u3"]
+    plan = followed._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
