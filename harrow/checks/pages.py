@@ -374,6 +374,17 @@ def _(spark, sf):
     return _records(_entries(spark, sf))
 
 
+def _ingested(spark, sf):
+    """The four harvests staged and merged; jobs run while the frame is built."""
+    registry = [
+        merge.Feed("headings", lambda s: harvest.harvest_headings(_shape(s, sf, 0), _source(0), _SITE)),
+        merge.Feed("cascade", lambda s: harvest.harvest_cascade(_shape(s, sf, 1), _source(1))),
+        merge.Feed("articles", lambda s: harvest.harvest_articles(_shape(s, sf, 2), _source(2))),
+        merge.Feed("entries", lambda s: _entries(s, sf)),
+    ]
+    return merge.ingest(spark, registry, harvest.PLACE)
+
+
 @check(
     "merge_feeds",
     _expected(
@@ -384,10 +395,28 @@ GROUP BY source"""
     ),
 )
 def _(spark, sf):
-    registry = [
-        merge.Feed("headings", lambda s: harvest.harvest_headings(_shape(s, sf, 0), _source(0), _SITE)),
-        merge.Feed("cascade", lambda s: harvest.harvest_cascade(_shape(s, sf, 1), _source(1))),
-        merge.Feed("articles", lambda s: harvest.harvest_articles(_shape(s, sf, 2), _source(2))),
-        merge.Feed("entries", lambda s: _entries(s, sf)),
-    ]
-    return merge.ingest(spark, registry, harvest.PLACE).by_source
+    return _ingested(spark, sf).by_source
+
+
+_HARVESTED = " UNION ALL ".join(
+    f"SELECT {name} AS name, 'feed {i}' AS source, {amount} AS funding_amount, {deadline} AS deadline,"
+    f" 'https://feed{i}.example.org/p/' || k AS url, k FROM p"
+    for i, (name, amount, deadline) in enumerate((
+        ("'Scheme ' || n", "'Rs. ' || (k % 900 + 100) || ',000'", "'Deadline: 31/12/2025'"),
+        (_CASCADE_NAME, "CASE k % 3 WHEN 0 THEN 'LKR 5,000' ELSE 'N/A' END", "CASE k % 3 WHEN 1 THEN '1/2/2026' ELSE 'N/A' END"),
+        ("'Award ' || n", "'N/A'", "'15 March 2026'"),
+        ("'Research stay ' || n", "'€1,200 per month'", "'30 June 2026'"),
+    ))
+)
+
+
+@check(
+    "merge_records",
+    _expected(
+        f"SELECT name, source, funding_amount, deadline, url FROM ({_HARVESTED})"
+        " QUALIFY row_number() OVER (PARTITION BY name, source ORDER BY k) = 1"
+    ),
+)
+def _(spark, sf):
+    """Every merged record of the four harvests, so the first of each repeat with its own cells."""
+    return _ingested(spark, sf).table.select("name", "source", "funding_amount", "deadline", "url")
