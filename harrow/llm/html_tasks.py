@@ -6,21 +6,31 @@ import sys
 
 from pyspark import cloudpickle
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
-# a whole attribute: its name, and its quoted or bare value, if any
-_ATTRIBUTE = re.compile(r"([^\s\"'<>/=][^\s\"'<>/=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"'][^\s>]*)))?")
+# an attribute's name, and its value: in quotes, or bare up to white space or the end of the tag, as HTML has it
+_VALUE = r"(?:\s*+=\s*+(?:\"({0}[^\"]*+)\"|'({0}[^']*+)'|({0}[^\s>]*+)))?+"
+_ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)" + _VALUE.format(""))
+_TOKEN = re.compile(
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+"
+    + _VALUE.format("?:") + r")*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)", re.S)
 _NAME = re.compile(r"[a-z0-9]+")
 # Elements whose content is no text of the page; the content of the first five is not markup either.
 _RAW = ("script", "style", "textarea", "title", "noscript")
-_DROPPED = {*_RAW, "head", "template", "svg", "iframe", "object", "canvas", "select", "button", "math", "audio", "video"}
+_DROPPED = {*_RAW, "head", "template", "svg", "iframe", "object", "canvas", "select", "button", "audio", "video",
+            "annotation", "annotation-xml"}
 _VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
 _INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd",
     "label", "mark", "q", "ruby", "rp", "rt", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u",
-    "var", "br", "wbr", "img"}
+    "var", "br", "wbr", "img", "math", "semantics", "mi", "mn", "mo", "ms", "mtext", "mspace", "mrow", "mfrac", "msqrt",
+    "mroot", "mstyle", "merror", "mpadded", "mphantom", "mfenced", "menclose", "msub", "msup", "msubsup", "munder", "mover",
+    "munderover", "mmultiscripts", "mtable", "mtr", "mtd"}
+_FLOW = _INLINE | _DROPPED - {"head", "title"}  # these do not end the block that they stand in
 # An open element of the first kind ends where one of the second begins.
 _ENDS = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"},
          "th": {"td", "th", "tr"}, "option": {"option"}}
+_ENDED = {tag: tuple(k for k, v in _ENDS.items() if tag in v) for tag in _ENDS}
+_LISTS = ("table", "ul", "ol", "dl")
+_SCOPES = (*_LISTS, "article", "div", "section")
 _CLOSES_P = {"p", "div", "article", "section", "aside", "nav", "header", "footer", "main", "form", "ul", "ol", "dl", "table",
              "pre", "blockquote", "figure", "hr", "h1", "h2", "h3", "h4", "h5", "h6", "address", "fieldset", "details"}
 _BAD_TAGS = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "fieldset"}
@@ -65,10 +75,13 @@ def _named(tag, values):
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "evidence", "dropped", "heading", "within")
+    __slots__ = ("tag", "parent", "evidence", "dropped", "heading", "within", "owner", "linked")
 
     def __init__(self, tag, attributes, parent):
         self.tag, self.parent = tag, parent
+        inline = tag in _INLINE and parent is not None
+        self.owner = parent.owner if inline else self  # the element of the block
+        self.linked = inline and (tag == "a" or parent.linked)
         values, hidden = [], False
         for key, a, b, c in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), html.unescape(a or b or c).lower()
@@ -103,44 +116,61 @@ class _Element:
             self.evidence = _SURE if self.within else _LIKELY
 
 
+class _Open:
+    """The open elements, and the places of those of each tag, so that none has to be searched for."""
+
+    def __init__(self):
+        self.path, self.places = [_Element("", "", None)], {}
+
+    def push(self, element):
+        self.places.setdefault(element.tag, []).append(len(self.path))
+        self.path.append(element)
+
+    def pop(self):
+        element = self.path.pop()
+        self.places[element.tag].pop()
+        return element
+
+    def last(self, tags):
+        """The place of the innermost open element of these tags, 0 for none."""
+        return max((x[-1] for t in tags if (x := self.places.get(t))), default=0)
+
+
 def blocks(page):
     """(text, parent, evidence, heading, linked) of each block of text in page order.
 
     A block is the text between two block-level tags; line breaks inside it are
-    white space. linked is the number of its characters inside links.
+    white space, and elements inside a line whose content is no text of the page
+    leave it whole. linked is the number of its characters inside links. The
+    work is linear in the page, whatever is left open in it.
     """
     out, pieces, linked = [], [], 0
-    here = _Element("", "", None)
+    open_ = _Open()
+    here = open_.path[0]
 
     def close():
         nonlocal linked
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
-                owner = here
-                while owner.tag in _INLINE and owner.parent is not None:
-                    owner = owner.parent
-                out.append((text, owner, here.evidence, here.heading, min(linked, len(text))))
+                out.append((text, here.owner, here.evidence, here.heading, min(linked, len(text))))
         pieces.clear()
         linked = 0
 
-    def leave(element):
+    def leave(place):
         nonlocal here
-        while here is not element:
-            if here.tag not in _INLINE:
+        while len(open_.path) > place:
+            if not here.dropped and here.tag not in _FLOW:
                 close()
-            here = here.parent
-        if here.tag not in _INLINE:
-            close()
-        here = here.parent
+            open_.pop()
+            here = open_.path[-1]
 
-    def opened(tags, stop):
-        element = here
-        while element is not None and element.tag not in stop:
-            if element.tag in tags:
-                return element
-            element = element.parent
-        return None
+    def end_of(tags, stops):
+        place = open_.last(tags)
+        if place > open_.last(stops):
+            leave(place)
+            return True
+        return False
 
     at, end = 0, len(page)
     while at < end:
@@ -148,7 +178,7 @@ def blocks(page):
         text = page[at:token.start() if token else end]
         if text and not here.dropped:
             pieces.append(text)
-            if any(e.tag == "a" for e in _inline_path(here)):
+            if here.linked:
                 linked += len(text)
         if token is None:
             break
@@ -157,47 +187,36 @@ def blocks(page):
         if not tag:
             continue
         if token[1]:
-            element = opened({tag}, () if tag not in _ENDS else ("table", "ul", "ol", "dl") if tag not in ("p",) else ())
-            if element is not None and element.parent is not None:
-                leave(element)
-            elif tag == "p":
+            done = end_of((tag,), _LISTS if tag in _ENDS and tag != "p" else ())
+            if tag == "p" and not done and not here.dropped:
                 close()
             continue
         if tag in _VOID:
-            if tag in ("br", "wbr", "img", "input"):
-                if not here.dropped and tag == "br":
+            if tag == "br":
+                if not here.dropped:
                     pieces.append(" ")
-            else:
+            elif tag not in _INLINE and tag != "input" and not here.dropped:
                 close()
             continue
         if tag in _ENDS:
-            element = opened({k for k, v in _ENDS.items() if tag in v}, ("table", "ul", "ol", "dl", "article", "div", "section"))
-            if element is not None and element.parent is not None:
-                leave(element)
+            end_of(_ENDED[tag], _SCOPES)
         if tag in _CLOSES_P:
-            element = opened({"p"}, ("table", "button"))
-            if element is not None:
-                leave(element)
-        if tag not in _INLINE:
+            end_of(("p",), ("table", "button"))
+        if tag not in _FLOW and not here.dropped:
             close()
-        made = _Element(tag, token[3], here)
-        if token[3].endswith("/") and tag in ("svg", "path"):
+        if tag in ("svg", "path") and token[3].endswith("/"):
             continue
-        here = made
+        made = _Element(tag, token[3], here)
         if tag in _RAW:
-            stop = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+            stop = re.compile(rf"</{tag}\b[^>]*+(?:>|\Z)", re.I).search(page, at)
             at = stop.end() if stop else end
-            here = made.parent
+            continue
+        open_.push(made)
+        here = made
     close()
     return out
 
 
-def _inline_path(element):
-    while element is not None and element.tag in _INLINE:
-        yield element
-        element = element.parent
-
-
 def costs(found):
     """For each block how much more it costs to call it boilerplate than to call it content; may be negative.
 
@@ -213,8 +232,9 @@ def costs(found):
         elif evidence == _LINE:
             cost = _LIKELY if heading else -_LIKELY
         else:
-            cost = evidence + min(words, 60) // 3 - 3 + 3 * (text[-1] in ".!?…") + 4 * heading
-            cost -= 12 * (2 * linked > len(text)) + 4 * (owner.tag in ("li", "td", "th") and words < 6)
+            # without any sign of boilerplate a block is content, however short
+            cost = evidence + 1 + min(words, 60) // 3 + 3 * (text[-1] in ".!?…") + 4 * heading
+            cost -= 16 * (2 * linked > len(text))
             cost += _LIKELY if owner.within else -30 * inside  # inside, or outside the article that the page names
         out.append(cost)
     return out
@@ -279,32 +299,59 @@ def cut(cost, links):
 
 
 def _source_side(nodes, cost, links):
-    """Nodes that the source still reaches once no augmenting path is left (shortest paths first)."""
-    rest, source, sink = {x: {} for x in (*nodes, "s", "t")}, "s", "t"
-    for i in nodes:
-        a, b = (source, i) if cost[i] > 0 else (i, sink)
+    """Nodes that the source still reaches once no augmenting path is left.
+
+    Paths of one length are saturated together (blocking flows over the levels
+    of a breadth-first search), each arc looked at once a level graph.
+    """
+    place = {x: k for k, x in enumerate(nodes)}
+    source, sink = len(nodes), len(nodes) + 1
+    arcs, to, rest = [[] for _ in range(len(nodes) + 2)], [], []
+
+    def join(a, b, there, back):
+        for x, y, c in ((a, b, there), (b, a, back)):
+            arcs[x].append(len(to))
+            to.append(y)
+            rest.append(c)
+
+    for k, i in enumerate(nodes):
         if cost[i]:
-            rest[a][b], rest[b][a] = abs(cost[i]), 0
+            join(*((source, k) if cost[i] > 0 else (k, sink)), abs(cost[i]), 0)
     for i, j, c in links:
-        rest[i][j] = rest[i].get(j, 0) + c
-        rest[j][i] = rest[j].get(i, 0) + c
+        join(place[i], place[j], c, c)
     while True:
-        came, queue = {source: None}, [source]
+        level, queue = [-1] * len(arcs), [source]
+        level[source] = 0
         for x in queue:
-            for y, c in rest[x].items():
-                if c > 0 and y not in came:
-                    came[y] = x
-                    queue.append(y)
-        if sink not in came:
-            return came
-        path, y = [], sink
-        while came[y] is not None:
-            path.append((came[y], y))
-            y = came[y]
-        flow = min(rest[x][y] for x, y in path)
-        for x, y in path:
-            rest[x][y] -= flow
-            rest[y][x] += flow
+            for e in arcs[x]:
+                if rest[e] > 0 and level[to[e]] < 0:
+                    level[to[e]] = level[x] + 1
+                    queue.append(to[e])
+        if level[sink] < 0:
+            return {nodes[x] for x in queue if x < len(nodes)}
+        turn, path, x = [0] * len(arcs), [], source
+        while True:
+            if x == sink:
+                flow = min(rest[e] for e in path)
+                for e in path:
+                    rest[e] -= flow
+                    rest[e ^ 1] += flow
+                first = next(k for k, e in enumerate(path) if not rest[e])
+                x = to[path[first] ^ 1]
+                del path[first:]
+            while turn[x] < len(arcs[x]):
+                e = arcs[x][turn[x]]
+                if rest[e] > 0 and level[to[e]] == level[x] + 1:
+                    break
+                turn[x] += 1
+            if turn[x] < len(arcs[x]):
+                path.append(e)
+                x = to[e]
+            elif path:
+                x = to[path.pop() ^ 1]
+                turn[x] += 1
+            else:
+                break
 
 
 def main_text(page):
