@@ -1,6 +1,7 @@
 """What an operator must not leave out: small cases for each cut that a review found."""
 
 import random
+import time
 
 import pytest
 
@@ -117,3 +118,30 @@ def test_pipeline_drops_equal_short_lines(spark):
     assert got == {i: (t, len(t)) for i, t in want.items()}
     left = {r.doc_id: r.text for r in line_dedup.dedup_lines(frame).collect()}
     assert left == {1: docs[0][1], 2: "Short one.\n\nOk\n}\nok", 3: docs[2][1]}
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<p>Hello there friend.</p><p title=it's>World's end is near.</p><p>More.</p>", "Hello there friend.\nWorld's end is near.\nMore."),
+    ("<p>Energy <math><mi>E</mi></math> equals.</p>", "Energy E equals."),
+    ("<p>A word <button>Buy</button>and <svg><path/></svg>here.</p>", "A word and here."),
+    ("<ul><li>a b<li>c d</ul><p>Short one</p>", "a b\nc d\nShort one"),
+    ("<!--><p>Hi there", "Hi there")])
+def test_no_text_is_lost(page, text):
+    assert main_text(page) == text
+
+
+@pytest.mark.parametrize("start", ["<div>", "<i>x", "<p><table><div>", "<li><b>", "<a>x<p>"])
+def test_open_elements_take_linear_time(start):
+    taken = []
+    for times in (5_000, 20_000):
+        page, begun = start * times + ONE, time.process_time()
+        blocks(page)
+        taken.append(time.process_time() - begun)
+    assert taken[1] < 12 * taken[0] + 0.2
+
+
+def test_cut_of_a_long_page():
+    page = f"<div><p>{ONE}</p><div class=ad><a href=x>Buy now</a></div></div>" * 4_000
+    begun = time.process_time()
+    assert main_text(page) == "\n".join([ONE] * 4_000)
+    assert time.process_time() - begun < 20
