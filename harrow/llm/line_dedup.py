@@ -6,8 +6,8 @@ from harrow.llm import line_tasks as tasks
 from harrow.llm.graph import blocks, components
 from harrow.llm.store import documents, maybe_broadcast, written
 
-LIMIT = 1  # edits
 MIN_CHARS = 20  # shorter lines are left alone
+LIMIT = ((MIN_CHARS, 1), *((25 * k, k) for k in range(2, 9)))  # (least length, edits)
 BLOCK = 500_000  # characters that one block holds at most, but for a longer line
 
 
@@ -16,7 +16,9 @@ def dedup_lines(docs, limit=LIMIT, min_chars=MIN_CHARS, block=BLOCK, report="lin
 
     Lines end at \\n; blanks, tabs and carriage returns around one do not count.
     Lines of min_chars characters or more link if their edit distance is at most
-    limit. Of all lines connected by links, equal ones included, the first stays
+    the limit of the shorter one: limit is one number for all lines, or steps
+    (least length, edits), both rising, of which the first are for lines of
+    fewer characters, too. Of all lines connected by links, equal ones included, the first stays
     (smallest doc_id, then place in the text; null doc_ids last) and all others
     go, within and across documents. Shorter lines of equal_chars characters or
     more link if they are equal; without it they stay. A null text stays null,
@@ -24,29 +26,36 @@ def dedup_lines(docs, limit=LIMIT, min_chars=MIN_CHARS, block=BLOCK, report="lin
     and text are one document and get the same result. Other columns pass
     through, but one named like the report is replaced.
 
-    A line of a link shares one of limit + 1 segments with the other line at
-    nearly the same place (signatures); lines that share one are compared in
-    blocks of bounded size. Equal lines count once in all of this.
+    Lines of a link share one of limit + 1 segments at nearly the same place
+    (tasks.signatures, from both ends of each line); lines that share one are
+    compared in blocks of bounded size. Equal lines count once in all of this.
+    Jobs run while the frame is built.
     """
-    minimum = max(min_chars, limit + 1)
+    steps = ((0, limit),) if isinstance(limit, int) else limit
+    minimum = max(min_chars, steps[0][1] + 1)
+    classes = tasks.length_classes([(max(minimum, least), k) for x, (least, k) in enumerate(steps)
+                                    if x + 1 == len(steps) or steps[x + 1][0] > minimum])
+    size = tasks.reach(classes)
     least = minimum if equal_chars is None else max(1, min(equal_chars, minimum))
     source = docs.drop(report)
     spans = source.select("text", *_key())
     lines = spans.select("doc", "mark", F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
     lines = lines.select("doc", "mark", "pos", F.btrim("raw", F.lit(" \t\r")).alias("line"))
     lines = lines.select("*", F.char_length("line").alias("n")).where(F.col("n") >= least)
-    # one pass over the texts: every line by its hashes, without its text
-    placed = lines.select("doc", "mark", "pos", "n", *_names(), _signatures(limit, minimum).alias("signs"))
-    placed = written(placed, "lines")
+    # every line by its hashes, without its text
+    placed = written(lines.select("doc", "mark", "pos", "n", *_names()), "lines")
+    ends = lines.where(F.col("n") >= minimum).select(
+        _names()[0], "n", F.left("line", F.lit(size)).alias("head"), F.reverse(F.right("line", F.lit(size))).alias("tail"))
+    signs = written(ends.mapInPandas(tasks.signer(classes), "id long, signs array<long>"), "signs")
     distinct = placed.groupBy("id", "second").agg(F.count(F.lit(1)).alias("times"), F.max("n").alias("n"))
     distinct = written(distinct, "distinct")
     members = distinct.select("id", F.col("n").cast("long").alias("weight")).groupBy("id").agg(F.max("weight").alias("weight"))
-    close = written(blocks(members, placed.select("id", F.explode("signs").alias("bucket")), block), "blocks")
+    close = written(blocks(members, signs.select("id", F.explode("signs").alias("bucket")), block), "blocks")
     wanted = written(close.select("id").distinct(), "wanted")
     texts = lines.select(_names()[0], "line").join(maybe_broadcast(wanted, 1_000_000), "id", "left_semi").distinct()
     sought = close.join(written(texts, "texts"), "id").select("block", "id", "line")
     sought = sought.repartition("block").sortWithinPartitions("block", "id", "line")
-    groups = components(sought.mapInPandas(tasks.linker(limit), "a long, b long"))
+    groups = components(sought.mapInPandas(tasks.linker(classes), "a long, b long"))
     repeated = distinct.join(groups, F.col("id") == F.col("node"), "left").where("times > 1 or component is not null")
     repeated = written(repeated.select("id", "second", F.coalesce("component", "id").alias("class")), "repeated")
     found = placed.select("doc", "mark", "pos", "id", "second").join(repeated, ["id", "second"])
@@ -69,31 +78,12 @@ def _names():
     return F.xxhash64("line").alias("id"), F.xxhash64(F.lit(1), "line").alias("second")
 
 
-def _signatures(limit, minimum):
-    n, parts = F.col("n"), limit + 1
-
-    def key(missing, i, shift):
-        length = n - missing
-        short = parts - length % parts
-        width = ((length - length % parts) / parts).cast("int")
-        start = width * i + F.greatest(F.lit(0), F.lit(i) - short) + shift
-        width = width + (F.lit(i) >= short).cast("int")
-        fits = (start >= 0) & (start + width <= n)
-        piece = F.substring(F.col("line"), (start + 1).cast("int"), width.cast("int"))
-        return F.when(fits, F.xxhash64(F.lit(i), length, piece))
-
-    own = [key(0, i, 0) for i in range(parts)]
-    others = [key(*w) for w in tasks.windows(limit) if w[0] or w[2]]
-    signs = F.array_compact(F.array(*own, *others))
-    return F.when(n >= minimum, signs).otherwise(F.array().cast("array<bigint>"))
-
-
 def _without(source, gone, report):
     """The documents joined with the places of their repeated lines."""
     body = F.struct(*[F.col(f"`{c}`") for c in source.columns]).alias("body")
     doc, mark = _key()
-    rows = source.select(body, doc, mark, F.split("text", "\n").alias("lines"))
-    rows = rows.join(gone, ["doc", "mark"], "left")
+    rows = source.select(body, doc, mark).join(gone, ["doc", "mark"], "left")
+    rows = rows.withColumn("lines", F.split("body.text", "\n"))
     # array_except works by hash, so a text of very many lines stays linear
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
     text = F.when(F.col("gone").isNull(), F.col("body.text")).otherwise(
@@ -114,17 +104,26 @@ SQL = """
 with recursive l as (
   select doc_id, unnest(string_split(text, chr(10))) as raw, unnest(range(len(string_split(text, chr(10))))) as pos from documents),
 t as (select doc_id, pos, raw, trim(raw, ' ' || chr(9) || chr(13)) as line from l),
-d as (select distinct line, length(line) as n from t where length(line) >= 20),
-e as (
-  select a.line as a, b.line as b from d a join d b on b.n between a.n - 1 and a.n + 1
-  where a.line <> b.line
-    and (substr(a.line, 1, 10) = substr(b.line, 1, 10) or substr(a.line, a.n - 8, 9) = substr(b.line, b.n - 8, 9))
-    and levenshtein(a.line, b.line) <= 1),
+d as (select distinct line, length(line) as n, greatest(1, least(8, length(line) // 25)) as k from t where length(line) >= 20),
+-- limits a line takes part in: its own, and the one below if a shorter line may have it
+p as (select line, n, k as own, k from d union all select line, n, k, k - 1 from d where k > 1 and n - k + 1 < 25 * k),
+q as (select *, greatest(20, 25 * k) // (k + 1) as w from p),
+g as (select *, i < k // 2 + 1 as ahead, unnest(range(-(case when i < k // 2 + 1 then i else k - i end),
+    1 + case when i < k // 2 + 1 then i else k - i end)) as shift from (select *, unnest(range(k + 1)) as i from q)),
+s as (select line, n, own, k, i, shift, case when ahead then substr(line, i * w + 1 + shift, w)
+    else substr(line, n - (k - i + 1) * w + 1 + shift, w) end as piece from g),
+m as (select distinct a.line as a, b.line as b, a.k from s a join s b using (k, i, piece)
+  where a.shift = 0 and a.own = a.k and b.n between a.n and a.n + a.k and a.line <> b.line),
+-- levenshtein counts bytes: characters of several bytes become control characters, each pair by its own alphabet
+v as (select *, array_to_string(list_distinct(regexp_extract_all(a || b, '[^\\x00-\\x7F]')), '') as wide,
+  array_to_string(list_transform(range(1, 32), lambda c: chr(c::int)), '') as plain from m),
+h as (select a, b from v where levenshtein(translate(a, wide, plain), translate(b, wide, plain)) <= k),
+e as (select a, b from h union select b, a from h),
 r(a, b) as (select a, a from e union select r.a, e.b from r join e on e.a = r.b),
 c as (select line, coalesce(min(b), line) as class from d left join r on a = line group by line),
 o as (select doc_id, pos, row_number() over (partition by class order by doc_id, pos) as k from t join c using (line)),
 f as (select t.*, coalesce(k, 1) > 1 as gone from t left join o using (doc_id, pos)),
-g as (select doc_id, count(*) as n_lines, sum(gone::int)::bigint as n_removed,
+u as (select doc_id, count(*) as n_lines, sum(gone::int)::bigint as n_removed,
   coalesce(string_agg(raw, chr(10) order by pos) filter (not gone), '') as text from f group by doc_id)
-select doc_id, n_lines, n_removed, length(text) as n_chars_left, md5(text) as text_md5 from g
+select doc_id, n_lines, n_removed, length(text) as n_chars_left, md5(text) as text_md5 from u
 """

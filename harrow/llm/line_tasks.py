@@ -2,11 +2,10 @@
 
 import sys
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 
-from harrow.llm.union_find import Forest
-
 
 def within(a, b, limit):
     """True if the edit distance of a and b is at most limit.
@@ -65,42 +64,155 @@ def within(a, b, limit):
     return distance <= limit
 
 
-def segments(length, limit):
-    """(start, width) of the limit + 1 segments of a line; the longer ones last."""
-    width, longer = divmod(length, limit + 1)
-    short = limit + 1 - longer
-    return [(i * width + max(0, i - short), width + (i >= short)) for i in range(limit + 1)]
+def length_classes(steps, widest=64):
+    """(least length, limit, width of a segment) of each class of lengths, in order.
 
+    steps: (least length, edits), both rising. The limit + 1 segments of a class
+    are as wide as its shortest line allows, up to widest; classes of one limit
+    double in length until then.
+    """
+    out = []
+    for x, (least, limit) in enumerate(steps):
+        end = steps[x + 1][0] if x + 1 < len(steps) else None
+        while end is None or least < end:
+            width = min(widest, least // (limit + 1))
+            out.append((least, limit, width))
+            if width == widest:
+                break
+            least *= 2
+    return out
+
+
+def reach(classes):
+    """Characters at either end of a line in which all segments and their windows lie."""
+    return max((limit // 2 + 1) * (width + 1) for _, limit, width in classes)
+
+
+def _grams(texts, size, q):
+    """Hashes of all runs of q characters in the first size characters of each text: (start, text)."""
+    codes = np.frombuffer("".join([t[:size] for t in texts]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    codes = codes.reshape(len(texts), size).T.astype(np.uint64) + np.uint64(1)
+    out = np.zeros((size - q + 1, len(texts)), np.uint64)
+    for i in range(q):
+        out = out * _BASE + codes[i:size - q + 1 + i]
+    return _mix(out)
+
+
+_BASE = np.uint64(0x9E3779B97F4A7C15)  # odd
+
+
+def _mix(x):
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(32))
+
+
+def signatures(heads, tails, lengths, classes):
+    """(row, key) arrays: two lines that link, the limit that of the shorter one, have a key in common.
+
+    heads and tails: the first and last reach(classes) characters of the lines,
+    the tails reversed. The shorter line has limit + 1 segments side by side,
+    some from its start and the others from its end. Going inwards, a first
+    segment that stands whole in the other line has at most as many edits before
+    it as it has segments before it, on one of the two sides at least: so it is
+    shifted by that number at most. A segment is named by the smallest hash of
+    its runs of q characters, so that the few smallest hashes over all shifts
+    name all windows that could equal it. The key also holds the class and a
+    range of 32 lengths; a line takes the class below and the range below, too,
+    where a shorter partner may be in them.
+    """
+    lengths = np.asarray(lengths, np.int64)
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+    ends = [c[0] for c in classes[1:]] + [1 << 62]
+    for number, ((least, limit, width), end) in enumerate(zip(classes, ends, strict=True)):
+        rows = np.flatnonzero((lengths >= least) & (lengths - limit < end))
+        if not len(rows):
+            continue
+        q = min(width, 24, max(10, width - 6))
+        cells = np.stack([(lengths[rows] - limit) // 32, lengths[rows] // 32])
+        two = cells[0] != cells[1]
+        for side, texts, parts in ((0, heads, limit // 2 + 1), (1, tails, (limit + 1) // 2)):
+            if not parts:
+                continue
+            grams = _grams([texts[x] for x in rows.tolist()], parts * width + parts - 1, q)
+            for i in range(parts):
+                before = None
+                for start in range(i * width - i, i * width + i + 1):
+                    least_hash = grams[start:start + width - q + 1].min(axis=0)
+                    new = np.ones(len(rows), bool) if before is None else least_hash != before
+                    before = least_hash
+                    key = _mix(_mix(least_hash) + np.uint64((number * 2 + side) * 4096 + i + 1))
+                    for cell, some in ((cells[1], new), (cells[0], new & two)):
+                        found.append((rows[some], _mix(key[some] + cell[some].astype(np.uint64))))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def signer(classes):
+    """mapInPandas step: rows (id, n, head, tail) -> (id, signs), once for each id of a batch."""
 
-def windows(limit):
-    """(missing, segment, shift): which windows of a line can equal a segment of a line shorter by missing."""
-    return [(d, i, o) for d in range(limit + 1) for i in range(limit + 1)
-            for o in range(max(-i, d - (limit - i)), min(i, d + limit - i) + 1)]
+    def run(batches):
+        for batch in batches:
+            batch = batch.drop_duplicates("id")
+            for start in range(0, len(batch), 4096):
+                part = batch.iloc[start:start + 4096]
+                rows, keys = signatures(part["head"].tolist(), part["tail"].tolist(), part["n"], classes)
+                order = np.argsort(rows, kind="stable")
+                cuts = np.searchsorted(rows[order], np.arange(1, len(part)))
+                yield pd.DataFrame({"id": part["id"].to_numpy(), "signs": np.split(keys[order].view(np.int64), cuts)})
 
+    return run
 
-def linker(limit):
+
+def _counts(line, letters=32):
+    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.bincount(codes % letters, minlength=letters)
+
+
+def links(ids, lines, classes):
+    """Pairs of ids that span the linked lines of one block.
+
+    Lines that share a signature and are not connected yet are looked at in
+    order of length. Those whose counts of characters differ by more than twice
+    the limit (an edit moves two counts by one at most) or whose lengths differ
+    by more than it go by vectors; the rest are compared.
+    """
+    if not ids:
+        return []
+    order = sorted(range(len(ids)), key=lambda x: (len(lines[x]), lines[x]))
+    ids, lines = [ids[x] for x in order], [lines[x] for x in order]
+    size = reach(classes)
+    lengths = np.array([len(t) for t in lines], np.int64)
+    limits = np.array([c[1] for c in classes])[np.searchsorted([c[0] for c in classes], lengths, "right") - 1]
+    rows, keys = signatures([t[:size] for t in lines], [t[:-size - 1:-1] for t in lines], lengths, classes)
+    by_key = np.lexsort((rows, keys))
+    rows, keys = rows[by_key], keys[by_key]
+    starts = np.searchsorted(keys, keys)
+    places = np.argsort(rows, kind="stable")
+    cuts = np.searchsorted(rows[places], np.arange(len(lines) + 1))
+    counts = np.array([_counts(t) for t in lines], np.int32).reshape(len(lines), -1)
+    label, members, found = np.arange(len(lines)), [[x] for x in range(len(lines))], []
+    for x, line in enumerate(lines):
+        near = np.zeros(x, bool)
+        for place in places[cuts[x]:cuts[x + 1]].tolist():
+            earlier = rows[starts[place]:place]
+            near[earlier[earlier < x]] = True
+        near = np.flatnonzero(near)[::-1]
+        near = near[(label[near] != label[x]) & (lengths[x] - lengths[near] <= limits[near])]
+        near = near[np.abs(counts[near] - counts[x]).sum(axis=1) <= 2 * limits[near]]
+        while len(near):
+            y, near = int(near[0]), near[1:]
+            if within(line, lines[y], int(limits[y])):
+                found.append((ids[x], ids[y]))
+                small, large = sorted((int(label[x]), int(label[y])), key=lambda c: len(members[c]))
+                label[members[small]] = large
+                members[large] += members[small]
+                members[small] = []
+                near = near[label[near] != large]
+    return found
+
+
+def linker(classes):
     """mapInPandas step over rows (block, id, line) in order of block -> links (a, b) that span its linked rows."""
-    shifts = windows(limit)
-
-    def links(ids, lines):
-        forest, found, index = Forest(len(ids)), [], {}
-        for x in sorted(range(len(ids)), key=lambda x: (len(lines[x]), lines[x])):
-            line, seen = lines[x], set()
-            for missing, i, shift in shifts:
-                length = len(line) - missing
-                start, width = segments(length, limit)[i]
-                start += shift
-                if start < 0 or start + width > len(line):
-                    continue
-                for y in index.get((length, i, line[start:start + width]), ()):
-                    if y not in seen:
-                        seen.add(y)
-                        if forest.root(x) != forest.root(y) and within(line, lines[y], limit):
-                            forest.join(x, y)
-                            found.append((ids[x], ids[y]))
-            for i, (start, width) in enumerate(segments(len(line), limit)):
-                index.setdefault((len(line), i, line[start:start + width]), []).append(x)
-        return found
 
     def run(batches):
         block, ids, lines = None, [], []
@@ -108,12 +220,12 @@ def linker(limit):
             out = []
             for b, i, t in zip(batch["block"], batch["id"], batch["line"], strict=True):
                 if b != block:
-                    out += links(ids, lines)
+                    out += links(ids, lines, classes)
                     block, ids, lines = b, [], []
                 ids.append(i)
                 lines.append(t)
             yield pd.DataFrame(out, columns=["a", "b"]).astype("int64")
-        yield pd.DataFrame(links(ids, lines), columns=["a", "b"]).astype("int64")
+        yield pd.DataFrame(links(ids, lines, classes), columns=["a", "b"]).astype("int64")
 
     return run
 

@@ -75,7 +75,13 @@ def lines_by_force(docs, limit, least):
     for i, text in sorted(docs, key=lambda d: d[0]):
         places += [(i, k, x.strip(" \t\r")) for k, x in enumerate((text or "").split("\n")) if text is not None]
     lines = {x for _, _, x in places if len(x) >= least}
-    group, seen, gone = classes(lines, lambda a, b: abs(len(a) - len(b)) <= limit and distance(a, b) <= limit), set(), set()
+    steps = ((0, limit),) if isinstance(limit, int) else limit
+
+    def linked(a, b):
+        most = max(k for n, k in steps if n <= min(len(a), len(b)))
+        return abs(len(a) - len(b)) <= most and distance(a, b) <= most
+
+    group, seen, gone = classes(lines, linked), set(), set()
     for i, k, x in places:
         if x in group:
             (gone.add((i, k)) if group[x] in seen else seen.add(group[x]))
@@ -95,7 +101,7 @@ def test_lines_by_force(spark):
     docs = [(i, "\n".join(line() for _ in range(chance.randint(0, 6)))) for i in range(30)]
     docs += [(98, docs[3][1]), (99, None), (100, ""), (101, " \n\t\n"), (102, "x" * 200_000)]
     frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("class", F.lit(1)).withColumn("id", F.lit(2))
-    for limit in (0, 1, 2):
+    for limit in (0, 1, 2, ((8, 1), (11, 2), (13, 4))):
         want = lines_by_force(docs, limit, 8)
         for block in (500_000, 60):  # whole families, and families dealt by buckets and chunks
             got = line_dedup.dedup_lines(frame, limit, 8, block)

@@ -6,9 +6,9 @@ import time
 import pytest
 
 import corpus_pipeline
-from harrow.llm import line_dedup, minhash_dedup
+from harrow.llm import line_dedup, line_tasks, minhash_dedup
 from harrow.llm.html_tasks import blocks, cut, edges, main_text
-from tests.llm.test_corpus import WORDS, near_by_force, near_docs, shingles
+from tests.llm.test_corpus import WORDS, classes, distance, near_by_force, near_docs, shingles
 
 
 def test_pipeline_links_near_copies_from_80(spark):
@@ -145,3 +145,50 @@ def test_cut_of_a_long_page():
     begun = time.process_time()
     assert main_text(page) == "\n".join([ONE] * 4_000)
     assert time.process_time() - begun < 20
+
+
+def reached(nodes, links):
+    near = {x: set() for x in nodes}
+    for a, b in links:
+        near[a].add(b)
+        near[b].add(a)
+    return classes(nodes, lambda x, y: y in near[x])
+
+
+@pytest.mark.parametrize("steps", [*[((max(8, k + 1), k),) for k in range(9)], ((8, 1), (16, 2), (24, 4), (40, 8))])
+def test_links_of_lines_by_force(steps):
+    chance = random.Random(5)
+    sorts = line_tasks.length_classes(steps)
+    for _ in range(20):
+        lines = set()
+        for base in ["".join(chance.choices("abcé", k=chance.randint(8, 60))) for _ in range(4)]:
+            for _ in range(6):
+                x = list(base)
+                for _ in range(chance.randint(0, 9)):
+                    x[chance.randrange(len(x))] = chance.choice(["", "a", "bc", "d"])
+                lines.add("".join(x))
+        lines = sorted(x for x in lines if len(x) >= steps[0][0])
+
+        def linked(a, b):
+            return distance(a, b) <= max(k for n, k in steps if n <= min(len(a), len(b)))
+
+        found = line_tasks.links(range(len(lines)), lines, sorts)
+        assert reached(range(len(lines)), found) == classes(range(len(lines)), lambda a, b: linked(lines[a], lines[b]))
+
+
+def test_a_changed_word_links_long_lines(spark):
+    words = random.Random(2).choices(WORDS, k=50)
+    docs = [(1, " ".join(words)), (2, " ".join([*words[:20], "other", *words[21:]])), (3, " ".join(words[:3])),
+            (4, " ".join(["other", *words[1:3]]))]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {1: docs[0][1], 2: "", 3: docs[2][1], 4: docs[3][1]}
+
+
+def test_lines_of_one_half_take_little_time():
+    chance = random.Random(3)
+    half, *ends = ("".join(chance.choices("abcdefghij klmno", k=32)) for _ in range(4001))
+    begun = time.process_time()
+    assert not line_tasks.links(range(4000), [half + x for x in ends], line_tasks.length_classes(line_dedup.LIMIT))
+    ends = [half * 8 + half[:x] + "q" + half[x + 1:] for x in range(32)] * 100
+    found = line_tasks.links(range(3200), ends, line_tasks.length_classes(line_dedup.LIMIT))
+    assert len(found) == 3199 and time.process_time() - begun < 10
