@@ -64,6 +64,38 @@ def within(a, b, limit):
     return distance <= limit
 
 
+def within_pairs(pairs, limits):
+    """Whether each pair (a, b), a not the shorter one, is within its limit: the columns of within, all pairs at once."""
+    most = int(max(limits))
+    if most == 0 or len(pairs) < 64:
+        return np.array([within(a, b, int(k)) for (a, b), k in zip(pairs, limits, strict=True)], bool)
+    rows, columns = (np.array([len(p[side]) for p in pairs], np.int64) for side in (0, 1))
+
+    def matrix(side, size, front, filler):
+        out = np.full((len(pairs), front + size), filler, np.uint32)
+        for x, pair in enumerate(pairs):
+            out[x, front:front + len(pair[side])] = np.frombuffer(pair[side].encode("utf-32-le", "surrogatepass"), np.uint32)
+        return np.ascontiguousarray(out.T)
+
+    a = matrix(0, int(columns.max()) + 2 * most + 1, most, 0xFFFFFFFF)
+    b = matrix(1, int(columns.max()), 0, 0xFFFFFFFE)
+    ones, low = (1 << (2 * most + 1)) - 1, 1 << (2 * most)
+    bits = 2.0 ** np.arange(2 * most + 1)
+    up = np.full(len(pairs), (ones << most) & ones, np.int64)
+    down, distance = np.zeros(len(pairs), np.int64), np.minimum(most, rows)
+    for j in range(len(b)):
+        match = (bits @ (a[j:j + 2 * most + 1] == b[j])).astype(np.int64)
+        diagonal = ((((match & up) + up) ^ up) | match | down) & ones
+        right = (down | ~(diagonal | up)) & ones
+        left = diagonal & up
+        last = np.int64(1) << np.clip(rows - j - 1 + most, 0, 2 * most)
+        step = np.where(j + 1 + most <= rows, (diagonal & low) == 0, ((right & last) != 0) * 1 - ((left & last) != 0) * 1)
+        distance += np.where(j < columns, step, 0)
+        moved = diagonal >> 1
+        up, down = (left | ~(moved | right)) & ones, moved & right
+    return distance <= np.asarray(limits)
+
+
 def length_classes(steps, widest=64):
     """(least length, limit, width of a segment) of each class of lengths, in order.
 
@@ -190,24 +222,43 @@ def links(ids, lines, classes):
     places = np.argsort(rows, kind="stable")
     cuts = np.searchsorted(rows[places], np.arange(len(lines) + 1))
     counts = np.array([_counts(t) for t in lines], np.int32).reshape(len(lines), -1)
-    label, members, found = np.arange(len(lines)), [[x] for x in range(len(lines))], []
+    label, members, found, waiting = np.arange(len(lines)), [[x] for x in range(len(lines))], [], []
+
+    def join(x, y):
+        if label[x] != label[y]:
+            found.append((ids[x], ids[y]))
+            small, large = sorted((int(label[x]), int(label[y])), key=lambda c: len(members[c]))
+            label[members[small]] = large
+            members[large] += members[small]
+            members[small] = []
+
+    def compare():
+        apart = [(x, y) for x, y in waiting if label[x] != label[y]]
+        waiting.clear()
+        if apart:
+            close = within_pairs([(lines[x], lines[y]) for x, y in apart], [limits[y] for _, y in apart])
+            for (x, y), near in zip(apart, close.tolist(), strict=True):
+                if near:
+                    join(x, y)
+
     for x, line in enumerate(lines):
         near = np.zeros(x, bool)
         for place in places[cuts[x]:cuts[x + 1]].tolist():
             earlier = rows[starts[place]:place]
             near[earlier[earlier < x]] = True
-        near = np.flatnonzero(near)[::-1]
+        near = np.flatnonzero(near)
         near = near[(label[near] != label[x]) & (lengths[x] - lengths[near] <= limits[near])]
-        near = near[np.abs(counts[near] - counts[x]).sum(axis=1) <= 2 * limits[near]]
-        while len(near):
-            y, near = int(near[0]), near[1:]
-            if within(line, lines[y], int(limits[y])):
-                found.append((ids[x], ids[y]))
-                small, large = sorted((int(label[x]), int(label[y])), key=lambda c: len(members[c]))
-                label[members[small]] = large
-                members[large] += members[small]
-                members[small] = []
-                near = near[label[near] != large]
+        apart = np.abs(counts[near] - counts[x]).sum(axis=1)
+        near, apart = near[apart <= 2 * limits[near]], apart[apart <= 2 * limits[near]]
+        near = near[np.argsort(apart, kind="stable")]
+        # the likeliest partners at once, so that a group of copies stays one comparison a line; the rest in bulk
+        for y in near[:4].tolist():
+            if label[y] != label[x] and within(line, lines[y], int(limits[y])):
+                join(x, y)
+        waiting += [(x, y) for y in near[label[near] != label[x]].tolist()]
+        if len(waiting) * (len(line) + 64) > 2_000_000:
+            compare()
+    compare()
     return found
 
 

@@ -176,6 +176,22 @@ def test_links_of_lines_by_force(steps):
         assert reached(range(len(lines)), found) == classes(range(len(lines)), lambda a, b: linked(lines[a], lines[b]))
 
 
+def test_pairs_in_bulk_are_those_one_by_one():
+    chance = random.Random(8)
+    pairs, limits = [], []
+    while len(pairs) < 5000:
+        a = "".join(chance.choices("abé", k=chance.randint(0, 30)))
+        b = list(a)
+        for _ in range(chance.randint(0, 12)):
+            b[chance.randint(0, len(b)):chance.randint(0, len(b))] = chance.choices("abé", k=chance.randint(0, 1))
+        a, b = sorted((a, "".join(b)), key=len, reverse=True)
+        if len(a) - len(b) <= 8:
+            pairs.append((a, b))
+            limits.append(chance.randint(len(a) - len(b), 8))
+    want = [distance(a, b) <= k for (a, b), k in zip(pairs, limits, strict=True)]
+    assert line_tasks.within_pairs(pairs, limits).tolist() == want and 500 < sum(want) < 4900
+
+
 def test_a_changed_word_links_long_lines(spark):
     words = random.Random(2).choices(WORDS, k=50)
     docs = [(1, " ".join(words)), (2, " ".join([*words[:20], "other", *words[21:]])), (3, " ".join(words[:3])),
