@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from harrow.checks import listings
-from harrow.checks.fixtures import RAW_LISTINGS, derived
+from harrow.checks.fixtures import RAW_LISTINGS, derived, table
 from harrow.checks.listings import check
 from harrow.plans import clean, merge, runs
 from harrow.session import stage_path
@@ -212,9 +212,10 @@ _WIDE = 700  # columns whose names of 100 characters make a header of 70 KB
 @check("feed_wide_header", f"SELECT o_orderkey AS row_id, '{_WIDE + 1}' AS n_columns, o_custkey AS last FROM orders")
 def _(spark, sf):
     cells = [F.col("o_custkey").alias(f"c{i:099d}") for i in range(_WIDE)]
-    orders = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").alias("row_id"), *cells)
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("row_id"), *cells)
     folder = stage_path(spark, "feeds")
-    sinks.write_feed_csv(orders, folder, "a_loans", _STAMP)
+    # 5 KB a row as plain text; a compressed part is read as one cell, so its rows are bounded
+    sinks.write_feed_csv(orders, folder, "a_loans", _STAMP, compression="gzip", maxRecordsPerFile=500_000)
     loaded = feeds.load_loan_feeds(spark, folder).drop(*feeds.LOAD_ORDER)
     return loaded.select(
         F.col("row_id").cast("long"), F.lit(str(len(loaded.columns))).alias("n_columns"),

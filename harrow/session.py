@@ -74,12 +74,12 @@ def stage_path(spark, name):
     return path
 
 
-def stage_table(df, name):
-    """Write a frame to the shared folder and read it back.
+def stage_table(df, name, **options):
+    """Write a frame to the shared folder, with the writer's options, and read it back.
 
     Cuts the lineage: what follows reads the files, so a lost executor costs a
     re-read and not the work before.
     """
     path = stage_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

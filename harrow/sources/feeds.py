@@ -123,9 +123,13 @@ def read_feeds(spark, paths, skip_ragged=True):
         return Feeds(None, rejected)
     names = [_unique(h["header"]) for h in headers]
     columns = list(dict.fromkeys(c for own in names for c in own))
-    places = [(h["header"], [own.index(c) if c in own else -1 for c in columns]) for h, own in zip(headers, names, strict=True)]
-    places = spark.createDataFrame(places, "header array<string>, places array<int>")  # a row for each different header
-    placed = read.rows.join(sound.join(F.broadcast(places), "header").select("file", "places"), "file")
+    at = [{c: k for k, c in enumerate(own)} for own in names]
+    places = [(i, h["header"], [own.get(c, -1) for c in columns]) for i, (h, own) in enumerate(zip(headers, at, strict=True))]
+    # a row for each different header
+    places = spark.createDataFrame(places, "which int, header array<string>, places array<int>")
+    # a number for each file, and the places of each header: broadcast, so that no row is shuffled and a large file stays dealt out
+    which = sound.join(F.broadcast(places), "header").select("file", "which")
+    placed = read.rows.join(F.broadcast(which), "file").join(F.broadcast(places.drop("header")), "which")
     cells = [F.get("cells", F.get("places", F.lit(i))).alias(c) for i, c in enumerate(columns)]
     place = (F.col("file").alias("_file"), F.col("block").alias("_block"), (F.shiftleft("seq", 24) + F.col("part")).alias("_row"))
     return Feeds(map_null_tokens(placed.select(*cells, *place), keep=LOAD_ORDER), rejected)

@@ -20,9 +20,9 @@ import pyarrow as pa
 from pyspark import cloudpickle
 
 OUT, IN, BOTH = 0, 1, 2
-# a line without quotes; another record; the first record of a file; the end of a record that began in an earlier range;
+# a line without quotes; a record of quoted cells that hold no quotes; another record; the first record of a file; the end of a record that began in an earlier range;
 # the start of one that ends in a later range; a range inside one cell; and the sum of a range
-LINE, RECORD, HEADER, HEAD, TAIL, THROUGH, RANGE = "line", "record", "header", "head", "tail", "through", "range"
+LINE, QUOTED, RECORD, HEADER, HEAD, TAIL, THROUGH, RANGE = "line", "quoted", "record", "header", "head", "tail", "through", "range"
 
 SCHEMA = (
     "file string, block long, seq long, part int, kind string, under int, cells array<string>, width int, raw string,"
@@ -33,7 +33,7 @@ _ARROW = pa.schema([
     ("under", pa.int32()), ("cells", pa.list_(pa.string())), ("width", pa.int32()), ("raw", pa.string()),
     ("out_open", pa.bool_()), ("in_open", pa.bool_()), ("in_through", pa.bool_()), ("reason", pa.string()),
 ])
-_ROWS = 4096
+_ROWS, _CHARS = 4096, 1 << 24  # of a batch, at most; a record is not split
 
 NOT_TEXT, CUT = "bytes that are not UTF-8", "compressed file is cut or broken"
 
@@ -73,6 +73,20 @@ def width(cells):
     return n
 
 
+def quoted_width(record):
+    """The width of a record of quoted cells without quotes inside, or None for any other text."""
+    if len(record) < 2 or record[0] != '"' or record[-1] != '"':
+        return None
+    inner = record[1:-1]
+    n = inner.count('","')
+    if inner.count('"') != 2 * n:
+        return None
+    end = len(inner)
+    while n and inner.endswith('","', 0, end):
+        end, n = end - 3, n - 1
+    return n + 1 if n or end else 0
+
+
 class _Cursor:
     """Records of a range under one assumption."""
 
@@ -95,10 +109,11 @@ class _Cursor:
 
 
 class Range:
-    """Reads the lines of one range in order and gives its rows."""
+    """Reads the lines of one range in order and gives its rows; with ``unsplit`` a record of quoted cells that hold no
+    quotes is given as it stands (``QUOTED``), for Spark to split."""
 
-    def __init__(self, file, block):
-        self.file, self.block, self.seq, self.reason = file, block, 0, None
+    def __init__(self, file, block, unsplit=False):
+        self.file, self.block, self.seq, self.reason, self.unsplit = file, block, 0, None, unsplit
         first = block == 0
         self.cursors = [_Cursor(BOTH)] if first else [_Cursor(OUT), _Cursor(IN)]
         self.headed = not first
@@ -117,6 +132,12 @@ class Range:
             elif not own.held and self.cursors[1].opening and not self.cursors[1].held:
                 yield self._line(seq, OUT, line)
                 return
+        elif self.unsplit and len(self.cursors) == 1 and self.headed and not self.cursors[0].held and "\r" not in line[:-1]:
+            record = line.removesuffix("\r")
+            n = quoted_width(record)
+            if n is not None:
+                yield (self.file, self.block, seq, 0, QUOTED, BOTH, None, n, record, None, None, None, None)
+                return
         for cursor in self.cursors:
             done = cursor.feed(seq, line)
             if done:
@@ -162,12 +183,14 @@ def _batch(rows):
 
 
 def _sent(rows):
-    held = []
+    held, chars = [], 0
     for row in rows:
         held.append(row)
-        if len(held) == _ROWS:
+        cells, raw = row[6], row[8]
+        chars += (len(raw) if raw else 0) + (sum(map(len, cells)) + 50 * len(cells) if cells else 0)
+        if len(held) == _ROWS or chars > _CHARS:
             yield _batch(held)
-            held = []
+            held, chars = [], 0
     if held:
         yield _batch(held)
 
@@ -191,7 +214,7 @@ def split_text(batches):
                 if now is None or now.block != block or now.file != name:
                     if now:
                         yield from now.end()
-                    now = Range(name, block)
+                    now = Range(name, block, unsplit=True)
                 if isinstance(line, bytes):
                     try:
                         line = line.decode()
@@ -212,7 +235,7 @@ def split_compressed(batches):
         csv.field_size_limit(2**31 - 1)
         for batch in batches:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                now = Range(one_slash(path), 0)
+                now = Range(one_slash(path), 0, unsplit=True)
                 try:
                     with gzip.GzipFile(fileobj=io.BytesIO(content.as_buffer())) as lines:
                         for line in lines:

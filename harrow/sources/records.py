@@ -58,7 +58,8 @@ def read(spark, paths):
         # not splittable, and only the bytes tell whether one is whole; a cell holds 2 GB at most
         whole = spark.read.format("binaryFile").load(packed).select("path", "content")
         frames.append(whole.mapInArrow(tasks.split_compressed, tasks.SCHEMA))
-    table = stage_table(frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1]), "records")
+    table = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+    table = stage_table(table, "records", compression="zstd")  # as large as the files
     listed = spark.createDataFrame([(p,) for p in paths], "file string")
     return Records(*_resolved(table, listed))
 
@@ -67,11 +68,15 @@ def _resolved(table, listed):
     ranges = table.where(F.col("kind") == tasks.RANGE)
     begins = _begins(ranges)
     own = begins.where(F.col("block").isNotNull())
-    rows = table.where(F.col("kind").isin(tasks.LINE, tasks.RECORD, tasks.HEADER)).join(own, ["file", "block"])
+    kinds = (tasks.LINE, tasks.QUOTED, tasks.RECORD, tasks.HEADER)
+    # one row for each range: broadcast, as by file the rows of a large one would go through one task
+    rows = table.where(F.col("kind").isin(*kinds)).join(F.broadcast(own), ["file", "block"])
     true = (F.col("under") == tasks.BOTH) | ((F.col("under") == tasks.IN) == F.col("open"))
     # where a range begins inside a cell, a line that would be a record is a piece of that cell
     rows = rows.where(true & ~F.coalesce(F.col("raw").isin("", "\r"), F.lit(False)))
-    cells = F.when(F.col("kind") == tasks.LINE, F.split(F.regexp_replace("raw", r"\r$", ""), ",")).otherwise(F.col("cells"))
+    cells = F.when(F.col("kind") == tasks.LINE, F.split(F.regexp_replace("raw", r"\r$", ""), ","))
+    cells = cells.when(F.col("kind") == tasks.QUOTED, F.split(F.expr("substring(raw, 2, length(raw) - 2)"), '","'))
+    cells = cells.otherwise(F.col("cells"))
     rows = rows.select(*_PLACE, "kind", cells.alias("cells"), "width")
     left_open = begins.where(F.col("block").isNull() & F.col("open")).select("file", F.lit(QUOTE_OPEN).alias("left_open"))
     crossing = not own.where("open").isEmpty()  # one row for each range

@@ -17,8 +17,8 @@ _CSV = {
 SECTIONS = ("rows", "score", "band")
 
 
-def write_csv(df, path):
-    df.write.mode("overwrite").options(**_CSV).csv(path)
+def write_csv(df, path, **options):
+    df.write.mode("overwrite").options(**_CSV, **options).csv(path)
     return path
 
 
@@ -30,11 +30,12 @@ def write_cleaned(df, folder, name, stamp):
     return stable
 
 
-def write_feed_csv(df, folder, name, stamp):
-    """One feed as CSV; an empty feed writes nothing and gives None."""
+def write_feed_csv(df, folder, name, stamp, **options):
+    """One feed as CSV, with further options of the writer such as ``compression``; an empty feed writes nothing and
+    gives None."""
     if df.isEmpty():
         return None
-    return write_csv(df, f"{folder}/{name}_{stamp}.csv")
+    return write_csv(df, f"{folder}/{name}_{stamp}.csv", **options)
 
 
 def write_feed_json(df, folder, name, stamp):

@@ -149,3 +149,31 @@ def test_nothing_to_read(spark, tmp_path):
     read = feeds.read_feeds(spark, feeds.discover(spark, str(tmp_path), feeds.LOAN_NAMES))
     assert read.table.columns == ["name", "source", *feeds.LOAD_ORDER] and read.table.isEmpty()
     assert read.table.select(F.max("name")).first()[0] is None
+
+
+def test_quoted_records_are_split_as_the_csv_module_reads_them(spark, tmp_path):
+    chance = random.Random(6)
+    texts = ["".join(chance.choices('"",,ab', k=chance.randint(0, 12))) for _ in range(20_000)]
+    texts += [f'"{t}"' for t in texts] + [",".join(f'"{c}"' for c in t) for t in texts[:2000] if t]
+    plain = 0
+    for text in texts:
+        width = tasks.quoted_width(text)
+        if width is not None:
+            plain += 1
+            cells = text[1:-1].split('","')
+            assert [cells] == list(csv.reader([text])) and width == tasks.width(cells), text
+    assert plain > 2000
+    rows = [[str(i), chance.choice(["", "a,b", ",", "é\r", "x"]), chance.choice(["", ",,", "y"])] for i in range(200)]
+    (tmp_path / "q_loan.csv").write_text(text_of([["i", "a", "b"], *rows], quoting=csv.QUOTE_ALL), newline="")
+    read = feeds.load_loan_feeds(spark, str(tmp_path))
+    assert sorted(cells_of(read, 3)) == sorted(rows)
+
+
+def test_rows_of_feeds_are_not_shuffled(spark, tmp_path):
+    """By file they would be, cells of all columns included, and a large file would go through one task."""
+    (tmp_path / "a_loan.csv").write_text("name,source\nA,B\n")
+    (tmp_path / "b_loan.csv").write_text("source,other\nC,D\n")
+    read = feeds.load_loan_feeds(spark, str(tmp_path))
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning(file" not in plan
+    assert {tuple(r)[:3] for r in read.collect()} == {("A", "B", None), (None, "C", "D")}
