@@ -146,7 +146,10 @@ def _(spark, sf):
     " UNION ALL SELECT 'd_loans', 'no header', 0, 0",
 )
 def _(spark, sf):
-    """One good feed, one with every other row too long, one file without a header."""
+    """One good feed, one with every other row too long, one file without a header.
+
+    Runs jobs while the frame is built: the feeds are written, and read once.
+    """
     folder = stage_path(spark, "feeds")
     raw = derived(spark, sf, RAW_LISTINGS)
     sinks.write_feed_csv(raw, folder, "a_loans", _STAMP)
@@ -158,11 +161,11 @@ def _(spark, sf):
     def feed(path):
         return F.regexp_extract(path, r"/(\w_loans)_[^/]*\.csv", 1).alias("feed")
 
-    paths = feeds.discover(spark, folder, feeds.LOAN_NAMES)
-    kept = feeds.read_feed_files(spark, paths).groupBy(feed("_file"), F.lit("read").alias("reason"))
+    read = feeds.read_feeds(spark, feeds.discover(spark, folder, feeds.LOAN_NAMES))
+    kept = read.table.groupBy(feed("_file"), F.lit("read").alias("reason"))
     kept = kept.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("row_id").cast("long")).alias("ids"))
     none = F.lit(0).cast("long")
-    left = feeds.rejected_files(spark, paths).select(feed("file"), "reason").distinct()
+    left = read.rejected.select(feed("file"), "reason").distinct()
     return kept.unionByName(left.select("feed", "reason", none.alias("n_rows"), none.alias("ids")))
 
 

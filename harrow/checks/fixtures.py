@@ -4,6 +4,10 @@ The tables hold no amounts, dates or award texts, so each rule gets its inputs
 from a SELECT over whole tables. The same text runs on Spark and on DuckDB.
 """
 
+from pyspark.sql import functions as F
+
+from harrow.sources import feeds
+
 RAW_LISTINGS = """
 SELECT o.o_orderkey AS row_id,
   'feed' || cast(o.o_custkey % 7 AS string) AS source,
@@ -89,9 +93,15 @@ FROM orders
 """
 
 
+_DEALT = 4 << 20  # bytes of a table's files for each part that it is dealt into
+
+
 def table(spark, sf_dir, name):
-    """A given table, dealt out over the cores: each is one row group, which a scan cannot split."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet").repartition(spark.sparkContext.defaultParallelism)
+    """A given table, dealt out over the cores, and into more parts as it grows: each is one row group, which a scan
+    cannot split. Rows are dealt by their place in the scan: a plain repartition sorts each scan task's rows first."""
+    path = f"{sf_dir}/{name}.parquet"
+    parts = max(spark.sparkContext.defaultParallelism, feeds.size(spark, path) // _DEALT)
+    return spark.read.parquet(path).repartition(parts, F.monotonically_increasing_id())
 
 
 def derived(spark, sf_dir, select):

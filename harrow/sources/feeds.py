@@ -41,6 +41,12 @@ def _fs(spark, path):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def size(spark, path):
+    """Bytes of a file, or of all files of a folder."""
+    fs, path = _fs(spark, path)
+    return fs.getContentSummary(path).getLength()
+
+
 def parts(spark, folder):
     """Part files of a folder that Spark wrote, in order."""
     fs, path = _fs(spark, folder)

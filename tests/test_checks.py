@@ -6,6 +6,9 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
+
+from harrow.checks import fixtures
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 SF = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
@@ -49,3 +52,12 @@ def test_query_matches_sql(spark, duck, key):
 
 def test_entry(spark):
     assert contract.entry(spark).count() == 5
+
+
+def test_given_tables_are_dealt_without_a_sort(spark, tmp_path):
+    """A plain repartition sorts all rows of a scan task first; parts grow in number with the table."""
+    spark.range(50, numPartitions=1).withColumnRenamed("id", "o_orderkey").write.parquet(str(tmp_path / "orders.parquet"))
+    dealt = fixtures.table(spark, str(tmp_path), "orders")
+    assert "RoundRobin" not in dealt._jdf.queryExecution().executedPlan().toString()
+    sizes = dealt.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == spark.sparkContext.defaultParallelism and sum(r["count"] for r in sizes) == 50
