@@ -1,5 +1,7 @@
 """Page trees and harvest on hand-written pages."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -241,3 +243,22 @@ def test_followed_pages_are_not_shuffled(spark):
     assert sorted(r.url for r in followed.collect()) == ["u1", "u3"]
     plan = followed._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_a_page_layout_is_walked_once(monkeypatch):
+    """Pages of a layout that was met take its tree, with their own texts and attributes."""
+    bits = ["<p>", "</p>", "<a href=\"x&amp;y\" href=\"z\">", "</a>", "text", "&amp;", "&#1;", " ", "\n", "<br>", "<li>", "</li>", ">"]
+    chance = random.Random(3)
+    html = ["".join(chance.choices(bits, k=chance.randint(0, 6))) for _ in range(20_000)]
+    html += ["<pre> </pre>", "<pre> </pre>", "<p><!-- c --></p>", "<style>x</style>", "a<p>", "<p title=\"a > b\">c</p>", "", None] * 2
+    met, walked = _Trees(), _Trees()
+    for page in html:
+        met.add(page)
+        walked._add_walked(page)
+    assert all(a.equals(b) for a, b in zip(met.columns(), walked.columns(), strict=True))
+    times, walk = [], _Trees._walk
+    monkeypatch.setattr(_Trees, "_walk", lambda self, page: times.append(page) or walk(self, page))
+    trees = _Trees()
+    for i in range(100):
+        trees.add(f'<ul><li><a href="/{i}">item {i}</a></li></ul>')
+    assert len(times) == 1 and len(trees.tags) == 400
