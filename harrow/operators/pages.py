@@ -145,8 +145,9 @@ def rows_where(df, test):
 
 
 def page_nodes(parsed):
-    """One row per element."""
+    """One row per element. Strings are stripped once for a page, not for each element around them."""
     strings, owners = F.col("strings"), F.col("owners")
+    page = once(parsed.select("page_id", "nodes", "strings", "owners", F.transform("strings", strip).alias("stripped")))
 
     def row(n):
         own = F.filter(F.sequence(n["p0"], n["p1"]), lambda i: (i < n["p1"]) & (F.get(owners, i) == n["id"]))
@@ -158,10 +159,10 @@ def page_nodes(parsed):
             n["tag"].alias("tag"),
             n["attrs"].alias("attrs"),
             F.array_join(F.transform(own, lambda i: F.get(strings, i)), "").alias("own_text"),
-            text(strings, n).alias("text"),
+            F.array_join(_strings(F.col("stripped"), n), "").alias("text"),
         )
 
-    return parsed.select("page_id", F.inline(F.transform("nodes", row)))
+    return page.select("page_id", F.inline(F.transform("nodes", row)))
 
 
 def find_all(parsed, *tags):
