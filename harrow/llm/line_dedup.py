@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from harrow.llm import line_tasks as tasks
-from harrow.llm.graph import blocks, components
+from harrow.llm import union_find
+from harrow.llm.graph import components
 from harrow.llm.store import documents, maybe_broadcast, written
 
 MIN_CHARS = 20  # shorter lines are left alone
@@ -40,22 +41,29 @@ def dedup_lines(docs, limit=LIMIT, min_chars=MIN_CHARS, block=BLOCK, report="lin
     source = docs.drop(report)
     spans = source.select("text", *_key())
     lines = spans.select("doc", "mark", F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
-    lines = lines.select("doc", "mark", "pos", F.btrim("raw", F.lit(" \t\r")).alias("line"))
+    # trimming the end of a text visits all of its characters
+    blanks, ends = F.lit(" \t\r"), F.endswith("raw", F.lit(" ")) | F.endswith("raw", F.lit("\t")) | F.endswith("raw", F.lit("\r"))
+    line = F.when(ends, F.btrim("raw", blanks)).otherwise(F.ltrim("raw", blanks))
+    lines = lines.select("doc", "mark", "pos", line.alias("line"))
     lines = lines.select("*", F.char_length("line").alias("n")).where(F.col("n") >= least)
-    # every line by its hashes, without its text
-    placed = written(lines.select("doc", "mark", "pos", "n", *_names()), "lines")
-    ends = lines.where(F.col("n") >= minimum).select(
-        _names()[0], "n", F.left("line", F.lit(size)).alias("head"), F.reverse(F.right("line", F.lit(size))).alias("tail"))
-    signs = written(ends.mapInPandas(tasks.signer(classes), "id long, signs array<long>"), "signs")
+    # every line by its hashes and signatures, without its text: texts are split here and once more for what may be linked
+    short = F.when(F.col("n") <= 2 * size, F.col("line")).otherwise(
+        F.concat(F.left("line", F.lit(size)), F.right("line", F.lit(size))))
+    signed = lines.select("doc", "mark", "pos", "n", *_names(), F.when(F.col("n") >= minimum, short).alias("line"))
+    signed = signed.mapInArrow(tasks.signer(classes), "doc long, mark long, pos int, n int, id long, second long, signs array<long>")
+    signed = written(signed, "lines")
+    placed, signs = signed.drop("signs"), signed.select("id", "signs")
     distinct = placed.groupBy("id", "second").agg(F.count(F.lit(1)).alias("times"), F.max("n").alias("n"))
     distinct = written(distinct, "distinct")
     members = distinct.select("id", F.col("n").cast("long").alias("weight")).groupBy("id").agg(F.max("weight").alias("weight"))
-    close = written(blocks(members, signs.select("id", F.explode("signs").alias("bucket")), block), "blocks")
+    close = written(_blocks(members, signs.select("id", F.explode("signs").alias("bucket")), block), "blocks")
     wanted = written(close.select("id").distinct(), "wanted")
     texts = lines.select(_names()[0], "line").join(maybe_broadcast(wanted, 1_000_000), "id", "left_semi").distinct()
     sought = close.join(written(texts, "texts"), "id").select("block", "id", "line")
     sought = sought.repartition("block").sortWithinPartitions("block", "id", "line")
-    groups = components(sought.mapInPandas(tasks.linker(classes), "a long, b long"))
+    linked = sought.mapInPandas(tasks.linker(classes), "a long, b long")
+    # each task joins what it can of its own links, so that long paths are short by then
+    groups = components(linked.mapInArrow(union_find.joiner(), "a long, b long"))
     repeated = distinct.join(groups, F.col("id") == F.col("node"), "left").where("times > 1 or component is not null")
     repeated = written(repeated.select("id", "second", F.coalesce("component", "id").alias("class")), "repeated")
     found = placed.select("doc", "mark", "pos", "id", "second").join(repeated, ["id", "second"])
@@ -78,6 +86,31 @@ def _names():
     return F.xxhash64("line").alias("id"), F.xxhash64(F.lit(1), "line").alias("second")
 
 
+def _blocks(members, buckets, limit):
+    """(block, id): groups of at most about `limit` weight in which all links are to be sought.
+
+    members: id, weight; buckets: bucket, id. A bucket has its smallest id as hub, and that hub the smallest hub that it
+    is with itself. All buckets that end at one hub are a block: so every two ids of a bucket meet, and as copies of one
+    text share most hubs, an id is sent few times, however many buckets it has. The ids of a block over the limit are
+    dealt into chunks, and each two chunks meet.
+    """
+    hubs = buckets.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("top"))
+    hubs = written(hubs.where(F.col("hub") != F.col("top")).select("bucket", "hub"), "hubs")
+    pairs = written(buckets.join(maybe_broadcast(hubs, 1_000_000), "bucket").select("hub", "id").distinct(), "pairs")
+    first = pairs.groupBy("id").agg(F.min("hub").alias("first")).withColumnRenamed("id", "hub")
+    pairs = pairs.join(first, "hub").select(F.col("first").alias("hub"), "id").distinct()
+    pairs = written(pairs.join(members, "id"), "members")
+    sizes = pairs.groupBy("hub").agg(F.ceil(F.sum("weight") / limit).cast("int").alias("chunks"))
+    large = maybe_broadcast(written(sizes.where("chunks > 1"), "large"), 1_000_000)
+    whole = pairs.join(large, "hub", "left_anti").select(F.col("hub").cast("string").alias("block"), "id")
+    dealt = pairs.select("hub", "id").join(large, "hub")
+    own = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
+    pair = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    dealt = dealt.select("hub", "id", own.alias("c"), pair.alias("d"))
+    name = F.concat_ws("|", "hub", F.least("c", "d"), F.greatest("c", "d"))
+    return whole.unionByName(dealt.select(name.alias("block"), "id"))
+
+
 def _without(source, gone, report):
     """The documents joined with the places of their repeated lines."""
     body = F.struct(*[F.col(f"`{c}`") for c in source.columns]).alias("body")
