@@ -1,8 +1,13 @@
 """Keep-first deduplication."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from harrow.session import stage_table
+
 
 def keep_first(df, keys, order, copies=None):
     """First row per key in the given order; NULL keys equal each other.
@@ -25,10 +30,30 @@ def keep_first(df, keys, order, copies=None):
     return kept.select(*columns, copies)
 
 
-def keep_first_by_name(df, order, copies=None):
+def keep_first_staged(df, keys, order, copies):
+    """As ``keep_first`` with ``copies``, of rows that come from a staged table, which is read twice.
+
+    The columns of ``order`` are never NULL and together unique per row; the last
+    one is a number. First the place of each key's first row is found: the
+    smallest last column for each key and value of the other ones goes by hash,
+    so no row is packed or sorted and a task's memory grows with its keys. The
+    places are staged, so that few are broadcast, and pick the rows before
+    anything else of them is worked out.
+    """
+    *leading, last = order
+    ends = df.groupBy(*keys, *leading).agg(F.min(last).alias(last), F.count(F.lit(1)).alias(copies))
+    places = ends.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_at"), F.sum(copies).alias(copies))
+    places = places.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], "_at.*", copies)
+    places = stage_table(places, "places")
+    kept = df.join(places.select(*order), list(order), "left_semi").select(*df.columns)
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)))
+    return kept.join(places.drop(*order), same).select(*df.columns, copies)
+
+
+def keep_first_by_name(df, order, copies=None, staged=False):
     """First per name. Keeping the first per (name, source) beforehand changes
     nothing under one fixed order, so it is a single shuffle."""
-    return keep_first(df, ["name"], order, copies)
+    return keep_first_staged(df, ["name"], order, copies) if staged else keep_first(df, ["name"], order, copies)
 
 
 def keep_first_by_name_and_source(df, order, copies=None):

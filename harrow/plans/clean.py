@@ -106,18 +106,19 @@ def scholarships_kept():
     return not_na_literal(F.col("name")) & not_na_literal(F.col("source"))
 
 
-def clean_loans(raw, order, alias_fallback=False):
+def clean_loans(raw, order, alias_fallback=False, staged=False):
     """Clean loaded loan feeds (null tokens already NULL).
 
-    ``order`` names the columns that give the load order.
+    ``order`` names the columns that give the load order. ``staged``: the rows
+    are read from staged tables, so they may be read twice.
     """
-    kept = dedup.keep_first_by_name(conform.conform_loans(raw, alias_fallback), order, copies=COPIES)
+    kept = dedup.keep_first_by_name(conform.conform_loans(raw, alias_fallback), order, copies=COPIES, staged=staged)
     return Clean(clean_loan_cells(kept), loans_kept, conform.reorder_loans,
                  report.LOAN_BREAKDOWNS, report.LOAN_COMPLETENESS, tuple(order))
 
 
-def clean_scholarships(raw, order):
+def clean_scholarships(raw, order, staged=False):
     """Clean loaded scholarship feeds (null tokens already NULL)."""
-    kept = dedup.keep_first_by_name(conform.conform_scholarships(raw, keep=order), order, copies=COPIES)
+    kept = dedup.keep_first_by_name(conform.conform_scholarships(raw, keep=order), order, copies=COPIES, staged=staged)
     return Clean(clean_scholarship_cells(kept), scholarships_kept, conform.reorder_scholarships,
                  report.SCHOLARSHIP_BREAKDOWNS, report.SCHOLARSHIP_COMPLETENESS, tuple(order))

@@ -17,7 +17,7 @@ def clean_loan_folder(spark, folder, out, stamp=None, exclude_outputs=False, ali
         raw = feeds.load_loan_feeds(spark, folder, exclude_outputs)
         if raw is None:
             return None
-        chain = clean.clean_loans(conform.name_from_product(raw), feeds.LOAD_ORDER, alias_fallback)
+        chain = clean.clean_loans(conform.name_from_product(raw), feeds.LOAD_ORDER, alias_fallback, staged=True)
         return _write(chain, out, "loans", stamp)
 
 
@@ -27,7 +27,7 @@ def clean_scholarship_folder(spark, folder, out, stamp=None, exclude_outputs=Fal
         raw = feeds.load_scholarship_feeds(spark, folder, exclude_outputs)
         if raw is None:
             return None
-        return _write(clean.clean_scholarships(raw, feeds.LOAD_ORDER), out, "scholarships", stamp)
+        return _write(clean.clean_scholarships(raw, feeds.LOAD_ORDER, staged=True), out, "scholarships", stamp)
 
 
 def _write(chain, out, name, stamp):
