@@ -149,6 +149,11 @@ class Range:
         if kind == HEAD:
             yield self._row(seq, 0, HEAD, under, None, text)
             return
+        # a cell may hold line ends; with carriage returns the record goes to the parser
+        n = quoted_width(text) if self.unsplit and self.headed and "\r" not in text else None
+        if n is not None:
+            yield (self.file, self.block, seq, 0, QUOTED, under, None, n, text, None, None, None, None)
+            return
         for part, cells in enumerate(parse(text)):
             kind, self.headed = RECORD if self.headed else HEADER, True
             yield self._row(seq, part, kind, under, cells, None)
